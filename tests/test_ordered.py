@@ -1,11 +1,16 @@
 """Split groups have to give what unsplit ones give."""
 
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.ordered import Ordered
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @pytest.fixture(scope="module")
 def rows(spark):
