@@ -1,6 +1,6 @@
 """Queries over the given tables; importing this fills the registry."""
 
-from millrace.plans import ordered_rows
+from millrace.plans import checks, ordered_rows, over_time, tables
 from millrace.plans.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "ordered_rows"]
+__all__ = ["QUERIES", "SQL", "checks", "ordered_rows", "over_time", "tables"]
