@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import lookup
 from millrace.ordered import Ordered
 
 # Error texts are fixed values.
@@ -139,28 +138,26 @@ def half_done_transfers(results: DataFrame) -> DataFrame:
 
 
 def accounts(results: DataFrame) -> DataFrame:
-    """Accounts that exist, with their opening and closing dates and balance."""
-    opened = results.where("action = 'open' AND ok").select(
-        F.col("account").alias("no"),
-        "type",
-        "rate",
-        F.coalesce("open_date", "op_date").alias("date_of_open"),
-        F.col("close_date").alias("_at_open"),
-    )
-    closed = (
-        results.where("action = 'close' AND ok")
-        .select(F.col("account").alias("no"), F.coalesce("close_date", "op_date").alias("_closed"))
+    """Accounts that exist, with their opening and closing dates and balance: one pass."""
+    opened = F.when(
+        (F.col("action") == "open") & F.col("ok"),
+        F.struct("type", "rate", F.coalesce("open_date", "op_date").alias("date_of_open"), "close_date"),
     )
+    closed = F.when((F.col("action") == "close") & F.col("ok"), F.coalesce("close_date", "op_date"))
+    known = F.when(F.col("balance").isNotNull(), F.struct("seq", "leg"))
     return (
-        opened.join(closed, "no", "left")
-        .join(balances(results), "no", "left")
-        .select("no", "type", "rate", "date_of_open", F.coalesce("_at_open", "_closed").alias("date_of_close"), "balance")
+        results.groupBy(F.col("account").alias("no"))
+        .agg(F.max(opened).alias("_o"), F.max(closed).alias("_closed"), F.max_by("balance", known).alias("balance"))
+        .where("_o IS NOT NULL")
+        .select(
+            "no", "_o.type", "_o.rate", "_o.date_of_open", F.coalesce("_o.close_date", "_closed").alias("date_of_close"), "balance"
+        )
     )
 
 
 def balance_of(wanted: DataFrame, balance_report: DataFrame) -> DataFrame:
     """Balance of each wanted ``no``, or an error."""
-    found = lookup(wanted, balance_report, "no", "left")
+    found = wanted.join(balance_report, "no", "left")
     missing = F.when(F.col("balance").isNull(), F.concat(F.lit("No account exists with no "), "no"))
     return found.withColumn("error", missing)
 
