@@ -211,7 +211,7 @@ _EDGE_ROWS = """
             (1,'Island',1500,10,10,20,10),(1,'Island',1500,20,10,20,20),(1,'Island',1500,20,20,10,20),(1,'Island',1500,10,20,10,10),
             (1,'Core',100,25,25,35,25),(1,'Core',100,35,25,35,35),(1,'Core',100,35,35,25,35),(1,'Core',100,25,35,25,25),
             (2,'East',1550,30,5,90,10),(2,'East',1550,90,10,70,60),(2,'East',1550,70,60,30,5),
-            (3,'North',1625,0,50,50,45),(3,'North',1625,50,45,60,95),(3,'North',1625,60,95,20,70),(3,'North',1625,20,70,0,95),(3,'North',1625,0,95,0,50)
+            (3,'North',1875,0,50,50,45),(3,'North',1875,50,45,60,95),(3,'North',1875,60,95,20,70),(3,'North',1875,20,70,0,95),(3,'North',1875,0,95,0,50)
     ) AS t(code, name, area, x1, y1, x2, y2)
 """
 _POINTS = "SELECT event_id, CAST(user_id % 97 AS DOUBLE) + 0.37 AS x, value / 5 + 0.0013 AS y FROM events"
@@ -251,7 +251,7 @@ def _(spark, sf):
 
 @query(
     "f08_area_of_regions",
-    f"SELECT event_id % 4 + 1 AS id, count(*) AS n_points, CASE event_id % 4 WHEN 0 THEN 1500.0 WHEN 1 THEN 100.0 WHEN 2 THEN 1550.0 ELSE 1625.0 END::DOUBLE AS area FROM events GROUP BY ALL",
+    f"SELECT event_id % 4 + 1 AS id, count(*) AS n_points, CASE event_id % 4 WHEN 0 THEN 1500.0 WHEN 1 THEN 100.0 WHEN 2 THEN 1550.0 ELSE 1875.0 END::DOUBLE AS area FROM events GROUP BY ALL",
 )
 def _(spark, sf):
     regions = _boroughs(spark).select(F.col("id").cast("long").alias("id"), geo.area(F.col("rings")).alias("area"))
@@ -298,7 +298,7 @@ def _(spark, sf):
 @query(
     "l02_sorted_features",
     """
-    SELECT e.n, f.* FROM (VALUES ('Island', 1, 1500::DOUBLE), ('Core', 1, 100), ('East', 2, 1550), ('North', 3, 1625)) AS f(name, code, area),
+    SELECT e.n, f.* FROM (VALUES ('Island', 1, 1500::DOUBLE), ('Core', 1, 100), ('East', 2, 1550), ('North', 3, 1875)) AS f(name, code, area),
     LATERAL (SELECT count(*) AS n FROM events WHERE user_id % 4 = code) AS e
     """,
 )
