@@ -62,9 +62,10 @@ class Graph:
 
     def totals(self) -> DataFrame:
         """Sum of ids, number of vertices, number of edges."""
-        v = self.vertices.agg(F.sum("id").alias("id_sum"), F.count(F.lit(1)).alias("n_vertices"))
-        e = self.edges.agg(F.count(F.lit(1)).alias("n_edges"))
-        return v.join(F.broadcast(e), F.lit(True))  # one row each
+        v = self.vertices.agg(F.sum("id").alias("id_sum"), F.count(F.lit(1)).alias("n_vertices"), F.lit(0).alias("n_edges"))
+        e = self.edges.agg(F.lit(None).cast("long").alias("id_sum"), F.lit(0).alias("n_vertices"), F.count(F.lit(1)).alias("n_edges"))
+        sums = [F.sum(c).alias(c) for c in ("id_sum", "n_vertices", "n_edges")]
+        return v.unionByName(e).agg(*sums)
 
     def reverse(self) -> Graph:
         swapped = self.edges.select(

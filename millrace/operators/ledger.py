@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.ordered import Ordered
+from millrace.ordered import Jump, Ordered
 
 # Error texts are fixed values.
 MIN_NO_LENGTH = 5
@@ -99,6 +99,27 @@ def _ledger_step(state, no, action, amount, opening, opened, day, closing):
     return (exists, closed, since, balance + change), (True, [], balance + change)
 
 
+def _add_leg(summary, no, action, amount, *_):
+    """Net change, lowest point on the way, and whether a closing is among the legs."""
+    total, low, closing = summary
+    if action == "credit":
+        total += amount
+    elif action == "debit":
+        total -= amount
+    return total, min(low, total), closing or action == "close"
+
+
+def _pass_legs(state, summary):
+    """An open account that never runs short takes every leg; a closed one takes none."""
+    exists, closed, since, balance = state
+    total, low, closing = summary
+    if exists and closed:
+        return state
+    if exists and not closing and balance + low >= 0:
+        return exists, closed, since, balance + total
+    return None
+
+
 def _iso(day: int) -> str:
     return (date(1970, 1, 1) + timedelta(days=day)).isoformat()
 
@@ -116,7 +137,7 @@ def run(ops: DataFrame, limit: int | None = None) -> DataFrame:
     outputs = [("ok", T.BooleanType()), ("errors", T.ArrayType(T.StringType())), ("balance", T.LongType())]
     inputs = ["account", "action", "amount", "_opening", "_opened", "_day", "_closing"]
     done = Ordered.of(prepared, "account", ["seq", "leg"], limit).fold(
-        inputs, (False, False, None, 0), _ledger_step, outputs
+        inputs, (False, False, None, 0), _ledger_step, outputs, Jump((0, 0, False), _add_leg, _pass_legs)
     )
     return done.drop("_opening", "_opened", "_day", "_closing")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.ordered import Ordered
+from millrace.ordered import Jump, Ordered
 
 Names = str | Sequence[str]
 
@@ -53,10 +53,11 @@ def in_sequence(
     init: tuple,
     step: Callable,
     outputs: Sequence[tuple[str, T.DataType]],
+    jump: Jump | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Rows of one key one after the other, different keys in parallel."""
-    return Ordered.of(df, key, order_by, limit).fold(inputs, init, step, outputs)
+    return Ordered.of(df, key, order_by, limit).fold(inputs, init, step, outputs, jump)
 
 
 # -- hash ring ------------------------------------------------------------------

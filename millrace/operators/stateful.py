@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.ordered import Ordered
+from millrace.ordered import Jump, Ordered
 
 Names = str | Sequence[str]
 
@@ -67,6 +67,24 @@ def capped_total_step(cap: int, cap_first: bool) -> Callable:
     return step
 
 
+def capped_total_jump(cap: int) -> Jump:
+    """A segment of which every row, or none, is accepted."""
+
+    def add(summary, amount):
+        total, least = summary
+        return total + amount, amount if least is None else min(least, amount)
+
+    def apply(state, summary):
+        total, least = summary
+        if state[0] is None or least < 0:
+            return None
+        if state[0] + total < cap:
+            return (state[0] + total,)
+        return tuple(state) if state[0] + least >= cap else None
+
+    return Jump((0, None), add, apply)
+
+
 def timed_gate(df: DataFrame, at: str, silence: int, key: Names, order_by: Names, limit: int | None = None) -> DataFrame:
     """Lets a row through, then none until ``silence`` has passed."""
     folded = Ordered.of(df, key, order_by, limit).fold([at], (None,), gate_step(silence), [("_open", T.BooleanType())])
@@ -105,7 +123,7 @@ def capped_total(
     """Adds ``accepted`` and ``total``, the accepted total so far."""
     outputs = [("accepted", T.BooleanType()), ("total", T.LongType())]
     step = capped_total_step(cap, cap_first)
-    return Ordered.of(df, key, order_by, limit).fold([amount], (None,), step, outputs)
+    return Ordered.of(df, key, order_by, limit).fold([amount], (None,), step, outputs, capped_total_jump(cap))
 
 
 def fold_rows(
@@ -116,7 +134,10 @@ def fold_rows(
     outputs: Sequence[tuple[str, T.DataType]],
     key: Names,
     order_by: Names,
+    jump: Jump | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """A user's own stateful operator: rows of a key in sequence, keys in parallel."""
-    return Ordered.of(df, key, order_by, limit).fold(inputs, init, step, outputs)
+    """A user's own stateful operator: rows of a key in sequence, keys in parallel. A hot
+    key whose state never forgets is walked one segment after the other, unless ``jump``
+    can tell what a segment does to a state."""
+    return Ordered.of(df, key, order_by, limit).fold(inputs, init, step, outputs, jump)

@@ -10,7 +10,7 @@ rows would stop the job. ``Ordered`` counts the largest group first:
 
   - ``running``: totals per segment, prefix-combined and added back,
   - ``bounded``: copies of the few rows next to the border,
-  - ``fold``: exit states handed on until no segment's entry state changes.
+  - ``fold``: exit states handed from segment to segment.
 
 Only the first key of a segment can reach back over its border, so each of these
 carries has at most one row per segment, whatever the data size. That is the bound
@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -43,6 +44,9 @@ CARRY = "_carry"
 MAX_SEGMENTS = 20_000
 MIN_ROWS_PER_SEGMENT = 20_000
 
+# Parallel rounds in which a stateful scan starts segments from guessed states.
+GUESS_ROUNDS = 3
+
 _AGG = {
     "sum": F.sum,
     "count": F.count,
@@ -74,6 +78,20 @@ def _combine(kind: str, before: Column, here: Column) -> Column:
     return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(both)
 
 
+@dataclass(frozen=True)
+class Jump:
+    """How to pass a segment without scanning it again.
+
+    ``add(summary, *inputs)`` collects a small summary of a segment, from ``start``;
+    ``apply(state, summary)`` gives the exit state for an entry state, or None where the
+    summary does not tell.
+    """
+
+    start: tuple
+    add: Callable[..., tuple]
+    apply: Callable[[tuple, list], tuple | None]
+
+
 class Ordered:
     """Rows grouped by ``key`` and ordered by ``order_by``; see the module text."""
 
@@ -291,12 +309,14 @@ class Ordered:
         init: tuple,
         step: Callable[..., tuple[tuple, tuple]],
         outputs: Sequence[tuple[str, T.DataType]],
+        jump: Jump | None = None,
     ) -> DataFrame:
         """Run ``step(state, *inputs) -> (state, outputs)`` over each group in order.
 
         For rules that no window expresses, such as "accept if the last accepted row is
         old enough". Rows stream through each task in Arrow batches; only the current
-        state is held. ``state`` is a tuple of JSON values of fixed size.
+        state is held. ``state`` is a tuple of JSON values of fixed size. ``jump`` helps
+        rules with a long memory over hot keys, see ``Jump``.
         """
         schema = T.StructType(
             [f for f in self.df.schema.fields] + [T.StructField(n, t, True) for n, t in outputs]
@@ -305,7 +325,7 @@ class Ordered:
             rows = self.rows.repartition(*self.key).sortWithinPartitions(*self.key, *self.order_by)
             return rows.mapInArrow(_scanner(self.key, inputs, init, step, outputs, None), schema)
 
-        carry = self._entry_states(inputs, init, step)
+        carry = self._entry_states(inputs, init, step, jump)
         rows = self.rows
         if carry is None:
             rows = rows.withColumn(CARRY, F.lit(None).cast("string"))
@@ -323,13 +343,15 @@ class Ordered:
             condition = condition & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
         return condition
 
-    def _entry_states(self, inputs, init, step) -> DataFrame | None:
+    def _entry_states(self, inputs, init, step, jump) -> DataFrame | None:
         """Entry state of every segment that continues a group from the one before.
 
-        Round by round, each such segment whose entry state changed is scanned again for
-        its exit state. After round r at least the first r segments of a group are final,
-        and most rules forget their entry state within a segment, so few rounds are run.
-        What is collected is one row per segment of a split group.
+        All segments are first scanned from a guessed entry state, in parallel. Then each
+        chain of segments is walked on the driver, one small value per segment: a known
+        exit state, or one that ``jump`` derives, leads on; the first segment without one
+        is scanned next, from its now certain entry state. Most rules forget their entry
+        state within a segment, so that guesses come true after a round or two; guessing
+        ends after ``GUESS_ROUNDS``, which bounds the work for those that never forget.
         """
         spark = self.rows.sparkSession
         groups = self._groups
@@ -344,34 +366,55 @@ class Ordered:
         pairs = sorted((tuple(r) for r in spans.collect()), key=lambda p: p[-1])
         if not pairs:
             return None
-        following: dict[tuple, tuple] = {}
-        latest: dict[tuple, tuple] = {}
+        chains: dict[tuple, list[tuple]] = {}
         for p in pairs:
-            if p[:-1] in latest:
-                following[latest[p[:-1]]] = p
-            latest[p[:-1]] = p
-        entry = {p: json.dumps(init) for p in pairs}
-        pending = [p for p in pairs if p in following]
+            chains.setdefault(p[:-1], []).append(p)
+        first = json.dumps(init)
+        known: dict[tuple, str] = {}  # (segment, entry state) -> exit state
+        guess: dict[tuple, str] = {}  # segment -> exit state of its latest scan
+        summaries: dict[tuple, list] = {}
         needed = self.rows.select(*dict.fromkeys([*groups, *self.order_by, *inputs]))
         carry_type = T.StructType(
             [T.StructField(f"_c_{f.name}", f.dataType, True) for f in group_type.fields]
             + [T.StructField(CARRY, T.StringType(), True)]
         )
-        exit_type = T.StructType(group_type.fields + [T.StructField("_exit", T.StringType(), True)])
-        while pending:
-            carry = spark.createDataFrame([(*p, entry[p]) for p in pending], carry_type)
+        text = [T.StructField(n, T.StringType(), True) for n in ("_entry", "_exit", "_summary")]
+        exit_type = T.StructType(group_type.fields + text)
+        rounds = 0
+        while True:
+            entry: dict[tuple, str] = {}
+            todo: list[tuple] = []
+            unresolved = False
+            for chain in chains.values():
+                state, certain = first, True
+                for p in chain:
+                    entry[p] = state
+                    if p is chain[-1]:
+                        break
+                    after = known.get((p, state))
+                    if after is None and jump is not None and p in summaries:
+                        jumped = jump.apply(tuple(json.loads(state)), summaries[p])
+                        after = None if jumped is None else json.dumps(jumped)
+                    if after is None:
+                        if certain or rounds < GUESS_ROUNDS:
+                            todo.append((*p, state))
+                        unresolved = True
+                        if certain and rounds >= GUESS_ROUNDS:
+                            break
+                        certain = False
+                        after = guess.get(p, first)
+                    state = after
+            if not unresolved:
+                return spark.createDataFrame([(*p, s) for p, s in entry.items()], carry_type)
+            carry = spark.createDataFrame(todo, carry_type)
             rows = needed.join(F.broadcast(carry), self._on_groups()).drop(*[f"_c_{g}" for g in groups])
             ordered = rows.repartition(*groups).sortWithinPartitions(*groups, *self.order_by)
-            exits = ordered.mapInArrow(_exit_scanner(groups, inputs, init, step, exit_type), exit_type)
-            changed = []
+            exits = ordered.mapInArrow(_exit_scanner(groups, inputs, init, step, exit_type, jump), exit_type)
             for r in exits.collect():
-                target = following[tuple(r)[:-1]]
-                if entry[target] != r["_exit"]:
-                    entry[target] = r["_exit"]
-                    if target in following:
-                        changed.append(target)
-            pending = changed
-        return spark.createDataFrame([(*p, s) for p, s in entry.items()], carry_type)
+                p = tuple(r)[:-3]
+                known[(p, r["_entry"])] = guess[p] = r["_exit"]
+                summaries[p] = json.loads(r["_summary"])
+            rounds += 1
 
 
 def _scanner(groups, inputs, init, step, outputs, carry, drop=()):
@@ -399,23 +442,27 @@ def _scanner(groups, inputs, init, step, outputs, carry, drop=()):
     return scan
 
 
-def _exit_scanner(groups, inputs, init, step, exit_type):
+def _exit_scanner(groups, inputs, init, step, exit_type, jump):
+    """One row per group: its entry state, its exit state and its summary."""
     types = [to_arrow_type(f.dataType) for f in exit_type.fields]
     names = exit_type.names
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state, done = None, init, []
+        current, entry, state, summary, done = None, None, init, None, []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in inputs]
             group_of = zip(*[batch.column(g).to_pylist() for g in groups])
             for group, start, values in zip(group_of, batch.column(CARRY).to_pylist(), zip(*columns)):
                 if group != current:
                     if current is not None:
-                        done.append((*current, json.dumps(state)))
-                    current, state = group, tuple(json.loads(start))
+                        done.append((*current, entry, json.dumps(state), json.dumps(summary)))
+                    current, entry, state = group, start, tuple(json.loads(start))
+                    summary = jump.start if jump else None
                 state, _ = step(state, *values)
+                if jump:
+                    summary = jump.add(summary, *values)
         if current is not None:
-            done.append((*current, json.dumps(state)))
+            done.append((*current, entry, json.dumps(state), json.dumps(summary)))
         arrays = [pa.array([d[i] for d in done], type=t) for i, t in enumerate(types)]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
