@@ -10,8 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,27 +22,27 @@ Names = str | Sequence[str]
 
 class StepProcessor(StatefulProcessor):
     """Runs ``step(state, *inputs) -> (state, outputs)``; the state is one JSON value of
-    bounded size per key."""
+    bounded size per key, read and written once per micro-batch."""
 
-    def __init__(self, order_by, inputs, init, step, columns, outputs, keep=None):
+    def __init__(self, order_by, inputs, init, step, names, keep):
         self.order_by, self.inputs, self.first, self.step = order_by, inputs, init, step
-        self.columns, self.outputs, self.keep = columns, outputs, keep
+        self.names, self.keep = names, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", T.StructType([T.StructField("json", T.StringType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order_by, ignore_index=True)
-        current = tuple(json.loads(self.state.get()[0])) if self.state.exists() else self.first
-        out = []
-        for values in zip(*[batch[c].tolist() for c in self.inputs]):
-            current, emitted = self.step(current, *values)
-            out.append(emitted)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch = sorted(rows, key=lambda r: [r[c] for c in self.order_by])
+        held = self.state.get()
+        current = self.first if held is None else tuple(json.loads(held[0]))
+        make = Row(*self.names)
+        for row in batch:
+            current, emitted = self.step(current, *[row[c] for c in self.inputs])
+            if self.keep is None:
+                yield make(*row, *emitted)
+            elif emitted[self.keep]:
+                yield make(*row, *emitted[: self.keep], *emitted[self.keep + 1 :])
         self.state.update((json.dumps(current),))
-        result = batch[self.columns].copy()
-        for i, name in enumerate(self.outputs):
-            result[name] = [o[i] for o in out]
-        yield result[result[self.keep]].drop(columns=[self.keep]) if self.keep else result
 
     def close(self) -> None:
         pass
@@ -66,8 +65,9 @@ def fold_stream(
     keys = [key] if isinstance(key, str) else list(key)
     shown = [(n, t) for n, t in outputs if n != keep]
     schema = T.StructType(list(stream.schema.fields) + [T.StructField(n, t) for n, t in shown])
-    processor = StepProcessor(list(order_by), list(inputs), init, step, stream.columns, [n for n, _ in outputs], keep)
-    return stream.groupBy(*keys).transformWithStateInPandas(
+    kept = None if keep is None else [n for n, _ in outputs].index(keep)
+    processor = StepProcessor(list(order_by), list(inputs), init, step, schema.names, kept)
+    return stream.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None"
     )
 
