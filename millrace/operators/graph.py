@@ -24,6 +24,11 @@ class Graph:
         )
         return cls(vertices, known.select(*edges.columns))
 
+    def stored(self) -> Graph:
+        """The graph written to the shared folder: worth it before several queries, or one
+        that uses its edges more than once, over a graph derived from other tables."""
+        return Graph(store(self.vertices, "vertices"), store(self.edges, "edges"))
+
     def select(self, predicate: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Vertices by predicate with their (incoming, outgoing) edges."""
         found = self.vertices.where(predicate)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.ordered import Ordered
@@ -17,16 +17,19 @@ from millrace.ordered import Ordered
 Names = str | Sequence[str]
 
 # Spark evaluates each row of a sliding frame anew; from this frame size on a
-# difference of two running sums is cheaper.
+# difference of two running sums is cheaper. The sums start anew in each segment, so that
+# they stay small against the terms.
 PREFIX_SUM_FROM = 64
 
 
 def _moving_sum(o: Ordered, value: str, n: int, out: str) -> Ordered:
     if n < PREFIX_SUM_FROM:
         return o.bounded(lambda w: {out: F.sum(value).over(w.rowsBetween(-(n - 1), 0))}, before=n - 1)
-    o = o.running({"_run": ("sum", value)})
-    o = o.bounded(lambda w: {out: F.col("_run") - F.coalesce(F.lag("_run", n).over(w), F.lit(0.0))}, before=n)
-    return o._with(o.rows.drop("_run"))
+    return o.bounded(
+        lambda w: {out: F.col("_run") - F.coalesce(F.lag("_run", n).over(w), F.lit(0.0))},
+        before=n,
+        prepare=lambda w: {"_run": F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))},
+    )
 
 
 def moving_average_ring(

@@ -256,14 +256,22 @@ class Ordered:
     # -- bounded frames -------------------------------------------------------
 
     def bounded(
-        self, build: Callable[[WindowSpec], dict[str, Column]], before: int = 0, after: int = 0
+        self,
+        build: Callable[[WindowSpec], dict[str, Column]],
+        before: int = 0,
+        after: int = 0,
+        prepare: Callable[[WindowSpec], dict[str, Column]] | None = None,
     ) -> Ordered:
         """Window columns that look at most ``before`` rows back and ``after`` ahead.
 
         ``build`` receives the window (no frame set) and returns the new columns.
+        ``prepare`` gives helper columns, computed before it over the rows at hand (from
+        ``before`` rows ahead of the segment on), for it to take differences of.
         """
         if not self.split:
-            return self._with(self.rows.withColumns(build(self.window)))
+            rows = self.rows.withColumns(prepare(self.window)) if prepare else self.rows
+            built = rows.withColumns(build(self.window))
+            return self._with(built.drop(*prepare(self.window)) if prepare else built)
         rows = self.rows.withColumn(OWN, F.lit(True))
         links = self._halo_links(before, after)
         if links:
@@ -279,7 +287,10 @@ class Ordered:
                 .drop("_src", "_dst", "_lo", "_hi")
             )
             rows = rows.unionByName(halo)
-        return self._with(rows.withColumns(build(self.window)).where(OWN).drop(OWN))
+        helpers = prepare(self.window) if prepare else {}
+        if helpers:
+            rows = rows.withColumns(helpers)
+        return self._with(rows.withColumns(build(self.window)).where(OWN).drop(OWN, *helpers))
 
     def _halo_links(self, before: int, after: int) -> list[tuple[int, int, int, int]]:
         """(source segment, target segment, first index, last index) of border rows."""

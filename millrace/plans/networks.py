@@ -148,7 +148,7 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    _, incoming, outgoing = _graph(spark, sf).select(F.col("label").isin("AUTOMOBILE", "supplier"))
+    _, incoming, outgoing = _graph(spark, sf).stored().select(F.col("label").isin("AUTOMOBILE", "supplier"))
     sides = incoming.withColumn("side", F.lit("in")).unionByName(outgoing.withColumn("side", F.lit("out")))
     return sides.select("side", "src", "dst")
 

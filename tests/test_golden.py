@@ -28,9 +28,10 @@ def test_moving_averages(spark, limit):
     assert column(simple, "moving_avg") == [0, 0, 0, 2.5, 3.5, 4.5]
 
 
-def test_moving_average_by_prefix_sums(spark):
+@pytest.mark.parametrize("size", [None, 30, 130])
+def test_moving_average_by_prefix_sums(spark, size):
     df = numbers(spark, [float(i % 13) for i in range(300)])
-    got = column(windows.moving_average(df, "x", [], "i", 100), "moving_avg")
+    got = column(windows.moving_average(df, "x", [], "i", 100, limit=size), "moving_avg")
     for i, v in enumerate(got):
         expected = 0.0 if i < 99 else sum(j % 13 for j in range(i - 99, i + 1)) / 100
         assert v == pytest.approx(expected)
