@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import timewindows
-from millrace.plans import over_time
+from millrace.plans import over_time, tables  # noqa: F401  (their SQL is used below)
 from millrace.plans.registry import SQL, micros, query, table
 from millrace.session import scratch_path
 from millrace.sources import readers
@@ -126,6 +126,25 @@ def _(spark, sf):
     return df.select("event_id", "user_id", "h")
 
 
+@query("t06_stream_unchanged_runs", SQL["t06_unchanged_runs_with_inactivity"])
+def _(spark, sf):
+    runs_of = lambda s: stateful.unchanged_runs(s, "event_type", "user_id", ORDER, "t", 3 * HOUR)
+    df = _appended(_timed(spark, sf, "event_type"), runs_of)
+    return df.groupBy("user_id", "run_no").agg(
+        F.min("event_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.any_value("event_type").alias("event_type")
+    )
+
+
+@query(
+    "u07_stream_flag_duplicates",
+    f"SELECT event_id, user_id, is_duplicate FROM ({SQL['u07_flag_duplicates']}) WHERE consumer = 'b'",
+)
+def _(spark, sf):
+    df = _events(spark, sf, F.floor("value").alias("seq"))
+    out = _appended(df, lambda s: stateful.flag_duplicates(s, "seq", "user_id", ORDER, 100))
+    return out.select("event_id", "user_id", "is_duplicate")
+
+
 @query(
     "s09_stream_last_seen",
     "SELECT event_id, user_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events",

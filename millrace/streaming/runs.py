@@ -63,6 +63,24 @@ def run_batches(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
     return query
 
 
+def run_console(stream: DataFrame, n: int = 20) -> StreamingQuery:
+    """Print some rows of every micro-batch."""
+    query = (
+        stream.writeStream.outputMode("append").format("console").option("numRows", n).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def stop_after(query: StreamingQuery, seconds: float) -> bool:
+    """Interrupt a running query after a time; True if it had ended by itself. What its
+    checkpoint holds is taken up by the next start."""
+    ended = bool(query.awaitTermination(seconds))
+    if not ended:
+        query.stop()
+    return ended
+
+
 def fan_out(targets: Mapping[str, Callable[[DataFrame], DataFrame]], folder: str) -> Callable[[DataFrame, int], None]:
     """One stream to many sinks: each micro-batch is computed once and written to every
     ``folder/name`` after its own transformation."""

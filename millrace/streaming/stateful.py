@@ -119,3 +119,29 @@ def last_seen(stream: DataFrame, key: Names, order_by: Sequence[str], value: str
         return (v,), (state[0],)
 
     return fold_stream(stream, key, order_by, [value], (None,), step, [("previous", kind)])
+
+
+def unchanged_runs(
+    stream: DataFrame, prop: str, key: Names, order_by: Sequence[str], at: str, inactivity: int | None = None
+) -> DataFrame:
+    """Adds ``run_no``: a new run begins when the property changes or, with ``inactivity``,
+    after a longer pause. ``at`` is the time as a number."""
+
+    def step(state, value, now):
+        number, was, last = state
+        paused = inactivity is not None and last is not None and now - last > inactivity
+        if number == 0 or value != was or paused:
+            number += 1
+        return (number, value, now), (number,)
+
+    return fold_stream(stream, key, order_by, [prop, at], (0, None, None), step, [("run_no", T.LongType())])
+
+
+def flag_duplicates(stream: DataFrame, seq: str, key: Names, order_by: Sequence[str], start: int) -> DataFrame:
+    """Adds ``is_duplicate``: at or below the highest sequence number that this key has
+    seen, which begins at ``start``."""
+
+    def step(state, number):
+        return (max(state[0], number),), (number <= state[0],)
+
+    return fold_stream(stream, key, order_by, [seq], (start,), step, [("is_duplicate", T.BooleanType())])
