@@ -46,11 +46,11 @@ def contains(edge_list: Column, x: Column, y: Column) -> Column:
 
     def crossed(e: Column) -> Column:
         spans = (e["y1"] > y) != (e["y2"] > y)
-        return spans & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+        # which side of the edge the point is on; no division, so level edges do no harm
+        side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+        return spans & ((side > 0) == (e["y2"] > e["y1"]))
 
-    # edges parallel to the ray never span it; guard their division
-    sloped = F.filter(edge_list, lambda e: (e["y1"] > y) != (e["y2"] > y))
-    return F.size(F.filter(sloped, crossed)) % 2 == 1
+    return F.aggregate(edge_list, F.lit(False), lambda inside, e: inside != crossed(e))
 
 
 def within(edge_list: Column, x: Column, y: Column) -> Column:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import store
 
+# Steps after which the visited vertices are written as one table again.
+COMPACT_EVERY = 8
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -96,9 +99,13 @@ class Graph:
         links = store(self.edges.select("src", "dst").distinct(), "links")
         frontier = self.vertices.where(F.col("id") == start).select("id")
         visited = frontier = store(frontier, "visited")
+        steps = 0
         while not frontier.isEmpty():
             nearby = links.join(frontier.withColumnRenamed("id", "src"), "src", "left_semi")
             found = nearby.select(F.col("dst").alias("id")).distinct().join(visited, "id", "left_anti")
             frontier = store(found, "frontier")
+            steps += 1
             visited = visited.unionByName(frontier)
+            if steps % COMPACT_EVERY == 0:
+                visited = store(visited, "visited")
         return visited.withColumnRenamed("id", out)

@@ -54,6 +54,12 @@ def test_airports(airports):
     assert sorted((r["label"], r["src"]) for r in incoming.collect()) == [("25", 4), ("45", 1)]
 
 
+def test_long_path(spark):
+    v = spark.range(12).select("id", F.lit("").alias("label"))
+    e = spark.range(11).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), F.lit("").alias("label"))
+    assert ids(Graph(v, e).reachable(0), "id") == list(range(12))
+
+
 def test_people(people):
     adjacent = lambda who, label, way: ids(people.adjacent(label, way).where(F.col("id") == who), "adjacent")
     assert adjacent("Alice", "follow", "both") == ["Charlie", "Sam"]
