@@ -37,7 +37,7 @@ def moving_average_ring(
 ) -> DataFrame:
     """Ring-buffer average: 0.0 for the first ``capacity - 2`` rows, then the sum of the
     last ``capacity`` rows over ``capacity``, a missing row counting as 0."""
-    o = _moving_sum(Ordered.of(df, key, order_by, limit).position("_n"), value, capacity, out)
+    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, capacity, out).position("_n")
     full = F.col("_n") >= max(1, capacity - 1)
     return o.df.withColumn(out, F.when(full, F.col(out) / F.lit(float(capacity))).otherwise(F.lit(0.0))).drop("_n")
 
@@ -46,7 +46,7 @@ def moving_average(
     df: DataFrame, value: str, key: Names, order_by: Names, n: int, out: str = "moving_avg", limit: int | None = None
 ) -> DataFrame:
     """Simple moving average: 0.0 until ``n`` rows are there, then their mean."""
-    o = _moving_sum(Ordered.of(df, key, order_by, limit).position("_n"), value, n, out)
+    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, n, out).position("_n")
     return o.df.withColumn(
         out, F.when(F.col("_n") >= n, F.col(out) / F.lit(float(n))).otherwise(F.lit(0.0))
     ).drop("_n")
@@ -67,8 +67,8 @@ def rounded_moving_average(
     exact = F.col(value).cast("decimal(18,4)")
     o = (
         Ordered.of(df, key, order_by, limit)
-        .position("_n")
         .bounded(lambda w: {out: F.avg(exact).over(w.rowsBetween(-(n - 1), 0))}, before=n - 1)
+        .position("_n")
     )
     return o.where(F.col("_n") >= n).withColumn(out, F.bround(out, digits).cast("double")).drop("_n")
 
@@ -171,7 +171,6 @@ def sliding_lists(
     its one short list."""
     o = (
         Ordered.of(df, key, order_by, limit)
-        .position("_n")
         .bounded(
             lambda w: {
                 out: F.collect_list(value).over(w.rowsBetween(-(n - 1), 0)),
@@ -180,6 +179,7 @@ def sliding_lists(
             before=n - 1,
             after=1,
         )
+        .position("_n")
     )
     return o.where((F.col("_n") >= n) | F.col("_more").isNull()).drop("_n", "_more")
 

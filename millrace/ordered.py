@@ -16,6 +16,9 @@ Only the first key of a segment can reach back over its border, so each of these
 carries has at most one row per segment, whatever the data size. That is the bound
 behind every broadcast in this module.
 
+Put ``bounded`` before ``running`` where both are needed: the rows at the borders are then
+added before the shuffle, and both work on the same sorted partitions.
+
 ``order_by`` is ascending and has to end with a column that is unique within the key.
 """
 
@@ -23,10 +26,11 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,8 +105,10 @@ class Ordered:
         key: Sequence[str],
         order_by: Sequence[str],
         sizes: dict[int, int] | None = None,
+        stored: DataFrame | None = None,
     ):
         self.rows = df
+        self._stored = stored  # the segments as written, while their columns are unchanged
         self.key = list(key)
         self.order_by = list(order_by)
         self._sizes = sizes  # rows per segment; None when groups are not split
@@ -148,7 +154,7 @@ class Ordered:
             "ordered",
         )
         sizes = {r[SEG]: r["n"] for r in ranged.groupBy(SEG).agg(F.count(F.lit(1)).alias("n")).collect()}
-        return cls(ranged, key, order_by, sizes)
+        return cls(ranged, key, order_by, sizes, ranged)
 
     # -- basics ---------------------------------------------------------------
 
@@ -169,12 +175,16 @@ class Ordered:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self._groups).orderBy(*self.order_by)
 
-    def _with(self, df: DataFrame) -> Ordered:
-        return Ordered(df, self.key, self.order_by, self._sizes)
+    def _with(self, df: DataFrame, added: Iterable[str]) -> Ordered:
+        """The same layout with further columns."""
+        stored = self._stored
+        if stored is not None and not set(stored.columns).isdisjoint(added):
+            stored = None
+        return Ordered(df, self.key, self.order_by, self._sizes, stored)
 
     def with_columns(self, columns: dict[str, Column]) -> Ordered:
         """Row-local columns."""
-        return self._with(self.rows.withColumns(columns))
+        return self._with(self.rows.withColumns(columns), columns)
 
     def where(self, condition: Column) -> DataFrame:
         return self.rows.where(condition).drop(SEG, IDX)
@@ -190,7 +200,7 @@ class Ordered:
         frame = self.window.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
         local = {name: _AGG[kind](col).over(frame) for name, (kind, col) in aggs.items()}
         if not self.split:
-            return self._with(self.rows.withColumns(local))
+            return self._with(self.rows.withColumns(local), aggs)
         totals = self._segment_totals(aggs)
         carry_frame = Window.partitionBy(*self.key).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
         across = {"count": "sum"}
@@ -210,7 +220,8 @@ class Ordered:
         combined = joined.withColumns(
             {name: _combine(kind, F.col(f"_c{i}"), F.col(name)) for i, (name, (kind, _)) in enumerate(aggs.items())}
         )
-        return self._with(combined.select(*[F.col(c) for c in self.rows.columns if c not in aggs], *aggs))
+        kept = [F.col(c) for c in self.rows.columns if c not in aggs]
+        return self._with(combined.select(*kept, *aggs), aggs)
 
     def _segment_totals(self, aggs: dict[str, tuple[str, Column | str]]) -> DataFrame:
         """One row per (key, segment); first/last follow the row order, not arrival."""
@@ -225,6 +236,11 @@ class Ordered:
             else:
                 agg = _AGG[kind](c)
             exprs.append(agg.alias(f"_t{i}"))
+        if self._stored is not None:
+            try:  # from the segments as written, if they hold what is aggregated
+                return self._stored.groupBy(*self._groups).agg(*exprs)
+            except AnalysisException:
+                pass
         return self.rows.groupBy(*self._groups).agg(*exprs)
 
     def position(self, name: str = "pos") -> Ordered:
@@ -236,7 +252,7 @@ class Ordered:
         if not self.split:
             whole = Window.partitionBy(*self.key)
             return self._with(
-                self.rows.withColumns({name: _AGG[kind](col).over(whole) for name, (kind, col) in aggs.items()})
+                self.rows.withColumns({name: _AGG[kind](col).over(whole) for name, (kind, col) in aggs.items()}), aggs
             )
         across = {"count": "sum"}
         whole = Window.partitionBy(*self.key)
@@ -251,7 +267,7 @@ class Ordered:
         for g in self._groups:
             condition = condition & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
         joined = self.rows.drop(*aggs).join(per_segment, condition, "left")
-        return self._with(joined.drop(*[f"_c_{g}" for g in self._groups]))
+        return self._with(joined.drop(*[f"_c_{g}" for g in self._groups]), aggs)
 
     # -- bounded frames -------------------------------------------------------
 
@@ -268,10 +284,10 @@ class Ordered:
         ``prepare`` gives helper columns, computed before it over the rows at hand (from
         ``before`` rows ahead of the segment on), for it to take differences of.
         """
+        columns, helpers = build(self.window), prepare(self.window) if prepare else {}
         if not self.split:
-            rows = self.rows.withColumns(prepare(self.window)) if prepare else self.rows
-            built = rows.withColumns(build(self.window))
-            return self._with(built.drop(*prepare(self.window)) if prepare else built)
+            rows = self.rows.withColumns(helpers) if helpers else self.rows
+            return self._with(rows.withColumns(columns).drop(*helpers), columns)
         rows = self.rows.withColumn(OWN, F.lit(True))
         links = self._halo_links(before, after)
         if links:
@@ -287,10 +303,9 @@ class Ordered:
                 .drop("_src", "_dst", "_lo", "_hi")
             )
             rows = rows.unionByName(halo)
-        helpers = prepare(self.window) if prepare else {}
         if helpers:
             rows = rows.withColumns(helpers)
-        return self._with(rows.withColumns(build(self.window)).where(OWN).drop(OWN, *helpers))
+        return self._with(rows.withColumns(columns).where(OWN).drop(OWN, *helpers), columns)
 
     def _halo_links(self, before: int, after: int) -> list[tuple[int, int, int, int]]:
         """(source segment, target segment, first index, last index) of border rows."""
