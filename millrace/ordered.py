@@ -293,8 +293,12 @@ class Ordered:
         if links:
             spark = self.rows.sparkSession
             link_df = spark.createDataFrame(links, "_src int, _dst int, _lo long, _hi long")
+            # the same bounds as a plain filter, which lets the scan skip most pages
+            heads = max([hi for _, _, lo, hi in links if lo == 0], default=-1)
+            tails = min([lo for _, _, lo, _ in links if lo > 0], default=None)
+            near = F.col(IDX) <= heads if tails is None else (F.col(IDX) <= heads) | (F.col(IDX) >= tails)
             halo = (
-                self.rows.join(
+                self.rows.where(near).join(
                     F.broadcast(link_df),
                     (F.col(SEG) == F.col("_src")) & F.col(IDX).between(F.col("_lo"), F.col("_hi")),
                 )

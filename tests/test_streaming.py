@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -54,7 +55,10 @@ def test_number_stream(spark):
     out, check = scratch_path(spark, "out"), scratch_path(spark, "check")
     stream = readers.number_stream(spark, 5, interval_ms=1000, limit=12)
     query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", check).start()
-    ended = runs.stop_after(query, 8)
+    deadline = time.monotonic() + 60
+    while len(query.recentProgress) < 3 and time.monotonic() < deadline:
+        time.sleep(0.5)
+    ended = runs.stop_after(query, 0.1)
     got = sorted(r["value"] for r in spark.read.parquet(out).collect())
     assert not ended and got == list(range(len(got))) and 0 < len(got) <= 12
 
