@@ -30,7 +30,7 @@ from millrace.llm.tokens import encoder
 from millrace.session import scratch_path
 
 END = 2
-LENGTH, CHECKSUM, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<q?QI")
+LENGTH, CHECKSUM, ENTRY = "<Q", "<I", "<q?QI"
 MANIFEST = "shard int, records string, offsets string, id_bytes int, n_records long, n_tokens long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, offset long"
 
@@ -42,25 +42,25 @@ def masked(data: bytes) -> int:
 
 
 def frame(ids: bytes) -> bytes:
-    length = LENGTH.pack(len(ids))
-    return b"".join((length, CHECKSUM.pack(masked(length)), ids, CHECKSUM.pack(masked(ids))))
+    length = struct.pack(LENGTH, len(ids))
+    return b"".join((length, struct.pack(CHECKSUM, masked(length)), ids, struct.pack(CHECKSUM, masked(ids))))
 
 
 def read_record(file) -> bytes:
     """The ids of the record at the file's position; raises if it is damaged."""
-    head = file.read(LENGTH.size + CHECKSUM.size)
-    length = head[: LENGTH.size]
-    if len(head) < LENGTH.size + CHECKSUM.size or CHECKSUM.unpack(head[LENGTH.size :])[0] != masked(length):
+    head = file.read(struct.calcsize(LENGTH) + struct.calcsize(CHECKSUM))
+    length = head[: struct.calcsize(LENGTH)]
+    if len(head) < struct.calcsize(LENGTH) + struct.calcsize(CHECKSUM) or struct.unpack(CHECKSUM, head[struct.calcsize(LENGTH) :])[0] != masked(length):
         raise ValueError("damaged record length")
-    ids = file.read(LENGTH.unpack(length)[0])
-    if CHECKSUM.unpack(file.read(CHECKSUM.size))[0] != masked(ids):
+    ids = file.read(struct.unpack(LENGTH, length)[0])
+    if struct.unpack(CHECKSUM, file.read(struct.calcsize(CHECKSUM)))[0] != masked(ids):
         raise ValueError("damaged record")
     return ids
 
 
 def read_index(data: bytes) -> list[tuple[int | None, int, int]]:
     """(doc_id, offset, number of ids) of each record."""
-    return [(i if known else None, offset, n) for i, known, offset, n in ENTRY.iter_unpack(data)]
+    return [(i if known else None, offset, n) for i, known, offset, n in struct.iter_unpack(ENTRY, data)]
 
 
 def open_folder(path: str):
@@ -101,7 +101,7 @@ def write_records(docs: DataFrame, folder: str, shards: int | None = None, token
                     record = frame(ids + last)
                     n = len(ids) // size + 1
                     files[0].write(record)
-                    files[1].write(ENTRY.pack(number or 0, number is not None, at, n))
+                    files[1].write(struct.pack(ENTRY, number or 0, number is not None, at, n))
                     at, n_records, n_tokens = at + len(record), n_records + 1, n_tokens + n
         if files is not None:
             for f in files:
