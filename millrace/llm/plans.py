@@ -1,11 +1,13 @@
 """The queries of this subpackage by name; none can be said in SQL alone (see the tests)."""
 
-from millrace.llm import binary_output, packing, quality_rules, secrets
+from millrace.llm import binary_output, packing, quality, quality_rules, secrets, toxicity
 
 QUERIES = {
     "op2_secret_scan": secrets.query,
     "op3_binary_records": binary_output.query,
+    "op4_quality_classifier": quality.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_toxicity": toxicity.query,
     "op9_packing": packing.query,
 }
 SQL: dict[str, str] = {}
