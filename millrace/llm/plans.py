@@ -1,8 +1,9 @@
 """The queries of this subpackage by name; none can be said in SQL alone (see the tests)."""
 
-from millrace.llm import binary_output, packing, quality, quality_rules, secrets, toxicity
+from millrace.llm import binary_output, decontamination, packing, quality, quality_rules, secrets, toxicity
 
 QUERIES = {
+    "op1_decontamination": decontamination.query,
     "op2_secret_scan": secrets.query,
     "op3_binary_records": binary_output.query,
     "op4_quality_classifier": quality.query,
