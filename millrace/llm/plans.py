@@ -1,6 +1,6 @@
 """The queries of this subpackage by name; none can be said in SQL alone (see the tests)."""
 
-from millrace.llm import binary_output, decontamination, line_dedup, packing, quality, quality_rules, secrets, toxicity
+from millrace.llm import binary_output, decontamination, line_dedup, near_dedup, packing, quality, quality_rules, secrets, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_quality_classifier": quality.query,
     "op6_quality_rules": quality_rules.query,
     "op7_toxicity": toxicity.query,
+    "op8_near_dedup": near_dedup.query,
     "op9_packing": packing.query,
     "op10_line_dedup": line_dedup.query,
 }
