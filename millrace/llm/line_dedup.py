@@ -114,32 +114,32 @@ def later_copies(runs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The rows of ``docs`` with text and n_chars (where there is one) as they are without later
-    copies, and the numbers of lines and of removed lines as ``_n_lines`` and ``_n_removed``."""
+    """``_row``: each row of ``docs``, all columns, with text and n_chars (where there is one) as
+    they are without later copies; its numbers of lines and of removed lines."""
     gone = repeated_lines(docs, min_chars).groupBy(*KEY).agg(F.collect_set("line").alias("_gone"))
-    own = docs.columns
-    joined = keyed(docs).join(gone, list(KEY), "left")
+    # All columns travel as one, so that no name of theirs meets a name used here.
+    whole = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     left = F.array_join(F.filter(lines, lambda _, n: ~F.array_contains("_gone", n)), "\n")
-    text = F.when(F.col("_gone").isNotNull(), left).otherwise(F.col("text"))
-    out = joined.select(
-        *[F.col(c) for c in own if c != "text"],
-        text.alias("text"),
+    held = whole.join(gone, list(KEY), "left").select(
+        F.when(F.col("_gone").isNotNull(), F.col("_row").withField("text", left)).otherwise(F.col("_row")).alias("_row"),
         F.size(lines).alias("_n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"),
     )
-    if "n_chars" in own:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, changed).otherwise(F.col("n_chars")))
-    return out.select(*own, "_n_lines", "_n_removed")
+    if "n_chars" in docs.columns:
+        size = F.length("_row.text").cast(docs.schema["n_chars"].dataType)
+        held = held.withColumn(
+            "_row", F.when(F.col("_n_removed") > 0, F.col("_row").withField("n_chars", size)).otherwise(F.col("_row"))
+        )
+    return held
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
-        "doc_id",
+        "_row.doc_id",
         F.col("_n_lines").cast("long").alias("n_lines"),
         F.col("_n_removed").cast("long").alias("n_removed"),
-        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
-        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+        F.coalesce(F.length("_row.text"), F.lit(0)).cast("long").alias("n_chars"),
+        F.sha2(F.coalesce("_row.text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )

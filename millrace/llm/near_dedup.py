@@ -41,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, table, texts
-from millrace.session import store
+from millrace.llm.common import KEY, doc_id, keyed, map_rows, table, texts
+from millrace.session import scratch_path, store
 
 SHINGLE = 3
 NUMERATOR, DENOMINATOR = 85, 100
@@ -105,21 +105,21 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, node, n (size of the set), sig of each row; node is null where there is no word."""
+    """_id, _hash, node, n (size of the set), sig of each row; node is null where there is no word."""
 
     def run(columns: list[list]) -> list:
         import xxhash
 
-        out: list[list] = [columns[0], [], [], []]
-        for text in columns[1]:
+        out: list[list] = [columns[0], columns[1], [], [], []]
+        for text in columns[2]:
             words, plain = word_hashes(text)
             found = shingles(words)
-            out[1].append(xxhash.xxh64_intdigest(plain) - 2**63 if len(found) else None)
-            out[2].append(len(found))
-            out[3].append(signature(found).tobytes() if len(found) else None)
+            out[2].append(xxhash.xxh64_intdigest(plain) - 2**63 if len(found) else None)
+            out[3].append(len(found))
+            out[4].append(signature(found).tobytes() if len(found) else None)
         return out
 
-    return map_rows(texts(docs), "doc_id long, node long, n long, sig binary", run)
+    return map_rows(keyed(texts(docs)).select(*KEY, "text"), "_id long, _hash long, node long, n long, sig binary", run)
 
 
 def with_keys(nodes: DataFrame) -> DataFrame:
@@ -260,7 +260,8 @@ def plain_texts(docs: DataFrame, needed: DataFrame) -> str:
     found = found.join(needed, "node", "left_semi").dropDuplicates(["node"])
     name = f"near_dedup_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found.write.bucketBy(parts, "node").sortBy("node").format("parquet").saveAsTable(name)
+    writer = found.write.bucketBy(parts, "node").sortBy("node").option("path", scratch_path(spark, "texts"))
+    writer.format("parquet").saveAsTable(name)
     return name
 
 
@@ -336,22 +337,34 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, node; one row per row of ``docs``."""
+def components(docs: DataFrame) -> DataFrame:
+    """_id, _hash, n, node and component (_comp; null where there is no word) of each row."""
     rows, labels = link_texts(docs)
-    rows = rows.join(labels, "node", "left").withColumn("_comp", F.coalesce("comp", "node"))
+    return rows.join(labels, "node", "left").withColumn("_comp", F.coalesce("comp", "node")).drop("comp", "sig")
+
+
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
+    rows = components(docs).withColumn("doc_id", doc_id())
     # Where there is no word there is no component: such rows are not joined with each other.
     least = rows.where("node is not null").groupBy("_comp").agg(F.min("doc_id").alias("component_id"))
-    joined = rows.drop("comp").join(least, "_comp", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-        "node",
+    return rows.join(least, "_comp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the least
+    doc_id stays (rows without one last, then by the hash of the text), once; so do the rows
+    without words, one of each doc_id."""
+    rows = components(docs)
+    order = F.struct((F.col("_id") == -(2**63)).alias("none"), *KEY)
+    first = rows.where("node is not null").groupBy("_comp").agg(F.min(order).alias("first"))
+    stay = first.select("first._id", "first._hash").unionAll(rows.where("node is null").select(*KEY).distinct())
+    whole = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
+    return whole.join(stay, list(KEY), "left_semi").dropDuplicates(list(KEY)).select("_row.*")
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup(table(spark, folder, "documents")).drop("node")
+    return near_dedup(table(spark, folder, "documents"))

@@ -1,12 +1,13 @@
 """The queries of this subpackage by name; none can be said in SQL alone (see the tests)."""
 
-from millrace.llm import binary_output, decontamination, line_dedup, near_dedup, packing, quality, quality_rules, secrets, toxicity
+from millrace.llm import binary_output, decontamination, line_dedup, near_dedup, packing, quality, quality_rules, secrets, substring_dedup, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
     "op2_secret_scan": secrets.query,
     "op3_binary_records": binary_output.query,
     "op4_quality_classifier": quality.query,
+    "op5_substring_dedup": substring_dedup.query,
     "op6_quality_rules": quality_rules.query,
     "op7_toxicity": toxicity.query,
     "op8_near_dedup": near_dedup.query,
