@@ -10,17 +10,21 @@ minima that differ. The 32 are split into eight chunks of four. By the pigeonhol
 signatures at a distance of 15 or less differ in one minimum at most in some chunk; so each node
 is entered under every three of a chunk's four minima (32 keys), and all such pairs share a key.
 At a similarity of 0.85 the distance is 4.8 on average, and passes ``RADIUS`` (14) for 6 pairs in
-a million.
+a million. Beside the signature stands a sketch: hashes fall into 256 bins, and each bin keeps a
+byte of its least. Two sets' share of equal bins is close to their similarity, the closer the
+fewer shingles they have; at 0.85 it is below ``LIKENESS`` (0.74, five standard deviations down)
+for less than one pair in a million, so pairs below it are not fetched for the exact test.
 
-Pairs of a key's nodes are never all written out. Three rounds find the components:
+Pairs of a key's nodes are never all written out. Three steps find the components:
 
 1. each node against the first node of a key, the one with which it shares most keys;
-2. where a key still holds several components, one node of each against one of another;
-3. where it still does, all pairs of nodes from different components whose signatures are within
-   the radius, in blocks of bounded size. Nodes of the key's largest component meet the others
+2. where a key still holds several components, one node of each against one of the largest,
+   ``ROUNDS`` times;
+3. where it still does, all pairs of nodes from different components whose signatures and sketches
+   allow it, in blocks of bounded size. Nodes of the key's largest component meet the others
    only.
 
-Only a link that was confirmed on the full sets joins components, and round 3 leaves out no pair
+Only a link that was confirmed on the full sets joins components, and step 3 leaves out no pair
 of different components within the radius, so that every such link counts.
 
 Null and empty texts, and texts without words, have no shingles and no links. The component is
@@ -38,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import KEY, doc_id, keyed, map_rows, table, texts
@@ -48,6 +52,8 @@ SHINGLE = 3
 NUMERATOR, DENOMINATOR = 85, 100
 MINIMA, CHUNK = 32, 4
 RADIUS = 14
+BINS, LIKENESS = 256, 0.74
+ROUNDS, TRIES = 3, 4  # of step 2, and per node in each; step 3 leaves nothing out
 MAIN_BLOCK, OTHER_BLOCK = 2048, 512
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,6 +95,38 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One byte per bin of sorted distinct hashes: of the least in the bin, 0 if it is empty."""
+    out = np.zeros(BINS, np.uint8)
+    bins = (hashes >> np.uint64(56)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+    out[bins[first]] = 1 + (hashes[first] >> np.uint64(40)) % np.uint64(255)
+    return out
+
+
+def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (signature and sketch) are within the radius and alike in their bins."""
+    x, y = (np.ascontiguousarray(m[:, : 2 * MINIMA]).view("<u2") for m in (left, right))
+    apart = (x != y).sum(1)
+    a, b = left[:, 2 * MINIMA :], right[:, 2 * MINIMA :]
+    filled = ((a | b) != 0).sum(1)
+    same = ((a == b) & (a != 0)).sum(1)
+    return (apart <= RADIUS) & (same >= LIKENESS * filled)
+
+
+def first_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of the first key (as in ``index_keys``) that the rows of each pair share."""
+    x, y = (np.ascontiguousarray(m[:, : 2 * MINIMA]).view("<u2") for m in (left, right))
+    equal = (x == y).reshape(len(x), MINIMA // CHUNK, CHUNK)
+    chunk = (equal.sum(2) >= CHUNK - 1).argmax(1)
+    # The place that differs is the one left out; where none differs, the first.
+    return chunk * CHUNK + (~equal[np.arange(len(x)), chunk]).argmax(1)
+
+
+def marks_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * MINIMA + BINS)
+
+
 def index_keys(signatures: np.ndarray) -> np.ndarray:
     """For each signature the keys of its chunks with each one of their minima left out."""
     parts = signatures.astype(np.uint64).reshape(len(signatures), -1, CHUNK)
@@ -116,7 +154,7 @@ def describe(docs: DataFrame) -> DataFrame:
             found = shingles(words)
             out[2].append(xxhash.xxh64_intdigest(plain) - 2**63 if len(found) else None)
             out[3].append(len(found))
-            out[4].append(signature(found).tobytes() if len(found) else None)
+            out[4].append(signature(found).tobytes() + sketch(found).tobytes() if len(found) else None)
         return out
 
     return map_rows(keyed(texts(docs)).select(*KEY, "text"), "_id long, _hash long, node long, n long, sig binary", run)
@@ -125,8 +163,7 @@ def describe(docs: DataFrame) -> DataFrame:
 def with_keys(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signatures = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, MINIMA)
-            keys = index_keys(signatures)
+            keys = index_keys(marks_of(batch.column(1))[:, : 2 * MINIMA].copy().view("<u2"))
             node = np.repeat(batch.column(0).to_numpy(), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node)], names=["key", "node"])
 
@@ -145,9 +182,8 @@ def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, MINIMA) for k in (2, 3))
-            good = pa.array((left != right).sum(1) <= RADIUS)
-            yield batch.select(["a", "b"]).filter(good)
+            good = close(marks_of(batch.column(2)), marks_of(batch.column(3)))
+            yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -223,16 +259,23 @@ def link_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def by_component() -> DataFrame:
         return shared.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
-    some = F.struct(F.xxhash64("node", "key").alias("h"), "node")
-    reps = by_component().groupBy("key", "comp").agg(F.min(some).alias("rep"))
-    reps = store(reps.select("key", F.col("rep.h").alias("h"), F.col("rep.node").alias("node")), "reps")
-    first = reps.groupBy("key").agg(F.min(F.struct("h", "node")).alias("hub"), F.count("*").alias("_n")).where("_n > 1")
-    pairs = reps.join(first.select("key", F.col("hub.node").alias("hub")), "key").where("node != hub")
-    pairs = new_pairs(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")), [tried])
-    more = store(near(pairs, nodes), "pairs")
-    labels = merge_components(labels, store(confirmed(more, plain), "links"))
-
-    rest = new_pairs(cross_pairs(by_component(), nodes), [tried, more])
+    done = [tried]
+    for turn in range(ROUNDS):
+        # Of each component of a key one node, another in each key and turn; the largest one's is the hub.
+        some = F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node")
+        reps = by_component().groupBy("key", "comp").agg(F.min(some).alias("rep"), F.count("*").alias("_n"))
+        reps = store(reps.select("key", "_n", F.col("rep.node").alias("node")), "reps")
+        first = reps.groupBy("key").agg(F.max(F.struct("_n", "node")).alias("hub"), F.count("*").alias("_comps"))
+        # A node takes part in as many keys as there are; it tries the hubs of its rarest keys.
+        first = first.where("_comps > 1").select("key", F.col("hub.node").alias("hub"), "_comps")
+        tries = reps.join(first, "key").where("node != hub")
+        rare = Window.partitionBy("node").orderBy("_comps", "hub")
+        tries = tries.groupBy("node", "hub").agg(F.min("_comps").alias("_comps")).withColumn("_turn", F.row_number().over(rare))
+        pairs = tries.where(F.col("_turn") <= TRIES).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        done.append(store(near(new_pairs(pairs, done), nodes), "pairs"))
+        labels = merge_components(labels, store(confirmed(done[-1], plain), "links"))
+
+    rest = new_pairs(cross_pairs(by_component(), nodes), done)
     labels = merge_components(labels, store(confirmed(store(rest, "pairs"), plain), "links"))
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return rows, labels
@@ -296,7 +339,8 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
         F.transform(others, lambda o: meeting("other", F.least(o, block), F.greatest(o, block))),
     )
     placed = rows.withColumn("_at", F.explode(F.when(main, of_main).otherwise(of_other)))
-    placed = placed.select(F.xxhash64("key", "_at").alias("_group"), "node", "comp", "n", "sig")
+    number = F.col("key").bitwiseAND(0xFFFF).alias("number")
+    placed = placed.select(F.xxhash64("key", "_at").alias("_group"), "node", "comp", "n", "sig", number)
     parts = int(by_component.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = placed.repartition(parts, "_group").sortWithinPartitions("_group")
 
@@ -315,9 +359,11 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
             yield within(held)
 
     def within(part: pa.Table) -> pa.RecordBatch:
-        """All pairs of each group, by how far apart they stand in it."""
+        """All pairs of each group, by how far apart they stand in it; a pair that shares several
+        keys comes from the first of them."""
         group, node, comp, n = (part.column(k).to_numpy() for k in range(4))
-        sig = np.frombuffer(b"".join(part.column(4).to_pylist()), "<u2").reshape(-1, MINIMA)
+        number = part.column(5).to_numpy()
+        sig = marks_of(part.column(4))
         left, right = [node[:0]], [node[:0]]
         apart, rows = 1, np.arange(len(group) - 1)
         while len(rows := rows[group[rows] == group[rows + apart]]):
@@ -327,7 +373,9 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
             i, j = rows[maybe], other[maybe]
             for some in range(0, len(i), 1 << 15):
                 x, y = i[some : some + (1 << 15)], j[some : some + (1 << 15)]
-                good = (sig[x] != sig[y]).sum(1) <= RADIUS
+                good = close(sig[x], sig[y])
+                x, y = x[good], y[good]
+                good = first_key(sig[x], sig[y]) == number[x]
                 left.append(node[x[good]])
                 right.append(node[y[good]])
             apart += 1
