@@ -1,9 +1,9 @@
 """Suffix-array dedup: bytes in 200-byte strings that start at two places of the corpus go.
 
-Every window of 200 bytes belongs to its *mark*: the least hash of its 32-byte strings. Equal
+Every window of 200 bytes belongs to its *mark*: the least hash of its 64-byte strings. Equal
 windows have equal marks, so windows that share a mark can be judged apart from all others. The
 windows of a text that stand next to each other and share a mark form a *stretch*, cut after
-``STRETCH`` windows; a text of n bytes has about n / 85 stretches.
+``STRETCH`` windows; a text of n bytes has about n / 69 stretches.
 
 A stretch whose mark stands nowhere else, itself included, has no copy. Stretches with equal bytes are copies of each
 other as they are, however many there are; only one of them goes on. Where a mark has stretches
@@ -34,7 +34,7 @@ from millrace.llm.suffix_sort import permuted_common_prefix, suffix_array
 from millrace.session import scratch_path, store
 
 LENGTH = 200
-PART = 32
+PART = 64
 STRETCH = 512
 SHARD_STRETCHES = 2048
 SHARD_BYTES = 2_000_000
@@ -144,7 +144,7 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 def in_shard(contents: list[bytes]) -> list[list[tuple[int, int]]]:
     """For each stretch the runs of windows (from, to) that have a copy in the shard."""
     text = b"\x00".join(contents)
-    order = suffix_array(np.frombuffer(text, np.uint8).astype(np.int64), 256)
+    order = suffix_array(np.frombuffer(text, np.uint8), 256)
     prefix, before = permuted_common_prefix(text, order, LENGTH)
     # A window lies within one stretch, so an equal one does: it ends before any border.
     inside = np.zeros(len(text), bool)

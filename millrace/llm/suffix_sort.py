@@ -95,9 +95,11 @@ def _induce_buckets(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray,
         out[head[c] + rank] = found
         head[c[first]] += count
 
+    larger = ~smaller
+
     def larger_before(of: np.ndarray) -> np.ndarray:
         before = of[of > 0] - 1
-        return before[~smaller[before]]
+        return before[larger[before]]
 
     last = np.array([n - 1])  # as if an end mark, smaller than all, stood after the text
     if not smaller[n - 1]:
@@ -148,29 +150,37 @@ def _induce_buckets(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray,
 
 
 def _induce_places(text: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    t, is_smaller, n = text.tolist(), smaller.tolist(), len(text)
+    n, text = len(text), text.astype(np.int64)
     ends = np.cumsum(sizes)
-    tail = ends.tolist()
-    out = [-1] * n
-    for i in leftmost[::-1].tolist():
-        tail[t[i]] -= 1
-        out[tail[t[i]]] = i
-    head = (ends - sizes).tolist()
-    if not is_smaller[n - 1]:
-        out[head[t[n - 1]]] = n - 1
-        head[t[n - 1]] += 1
+    # For each place the symbol before it if that suffix is to be induced, else -1; so for an
+    # empty slot, which is -1 and reads the last entry.
+    up, down = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)
+    up[1:n] = np.where(smaller[: n - 1], -1, text[: n - 1])
+    down[1:n] = np.where(smaller[: n - 1], text[: n - 1], -1)
+    by = np.argsort(text[leftmost], kind="stable")
+    seeds, of = leftmost[by], text[leftmost][by]
+    of_ends = np.searchsorted(of, of, side="right")
+    out = np.full(n, -1, np.int64)
+    out[ends[of] - (of_ends - np.arange(len(of)))] = seeds
+    out = out.tolist()
+    head, before = (ends - sizes).tolist(), up.tolist()
+    if not smaller[n - 1]:
+        last = int(text[n - 1])
+        out[head[last]] = n - 1
+        head[last] += 1
     for i in out:  # the list is read while it is filled ahead of the reader
-        if i > 0 and not is_smaller[i - 1]:
-            c = t[i - 1]
-            out[head[c]] = i - 1
-            head[c] += 1
-    tail = ends.tolist()
-    for at in range(n - 1, -1, -1):
-        i = out[at]
-        if i > 0 and is_smaller[i - 1]:
-            c = t[i - 1]
-            tail[c] -= 1
-            out[tail[c]] = i - 1
+        c = before[i]
+        if c >= 0:
+            at = head[c]
+            out[at] = i - 1
+            head[c] = at + 1
+    tail, before = ends.tolist(), down.tolist()
+    for i in reversed(out):
+        c = before[i]
+        if c >= 0:
+            at = tail[c] - 1
+            out[at] = i - 1
+            tail[c] = at
     return np.array(out, np.int64)
 
 
