@@ -40,7 +40,7 @@ def safe_long(text: Column) -> Column:
 def decode_event(name: Column, payload: Column) -> Column:
     """A typed event from its name and tab-separated payload, or an error text."""
     # trailing empty fields do not count
-    fields = F.split(F.regexp_replace(payload, "\t+$", ""), "\t")
+    fields = F.split(F.regexp_replace(payload, r"\t+\z", ""), "\t")
     field = lambda i: F.try_element_at(fields, F.lit(i + 1))
     track, at = safe_long(field(1)), safe_long(field(2))
     known = name.isin(list(EVENT_FIELDS))
@@ -95,7 +95,7 @@ def frame_lines(df: DataFrame, text: str, max_length: int = 10_000, out: str = "
     """Newline frames of a text column, numbered from 0; ``too_long`` marks frames above
     the limit. The last frame may lack its newline; a closing newline adds none."""
     others = [c for c in df.columns if c != text]
-    frames = F.split(F.regexp_replace(F.col(text), "\n$", ""), "\n")
+    frames = F.split(F.regexp_replace(F.col(text), r"\n\z", ""), "\n")
     rows = df.where(F.length(text) > 0).select(*others, F.posexplode(frames).alias("frame_no", out))
     return rows.withColumn("too_long", F.length(out) > max_length)
 

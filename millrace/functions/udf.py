@@ -46,10 +46,12 @@ def map_chunks(df: DataFrame, n: int, fn: Callable[[pd.DataFrame], pd.DataFrame]
         for batch in batches:
             held.append(batch)
             rows += len(batch)
-            while rows >= n:
+            if rows >= n:
                 joined = pd.concat(held, ignore_index=True)
-                yield fn(joined.iloc[:n])
-                held, rows = [joined.iloc[n:]], rows - n
+                rest = rows % n
+                for start in range(0, rows - rest, n):
+                    yield fn(joined.iloc[start : start + n])
+                held, rows = [joined.iloc[rows - rest :]], rest
         if rows:
             yield fn(pd.concat(held, ignore_index=True))
 

@@ -57,7 +57,9 @@ def heartbeats(df: DataFrame, ts: str, interval_seconds: int, flag: str = "is_he
     Ticks come from ``spark.range``, so a long span needs no large array.
     """
     spark = df.sparkSession
-    tick = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts}) div {interval_seconds}")
+    micros, interval = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})", interval_seconds * 1_000_000
+    # Rounded down also before 1970.
+    tick = F.expr(f"({micros} - pmod({micros}, {interval})) div {interval}")
     used = df.select(tick.alias("_tick")).distinct()
     span = used.agg(F.min("_tick").alias("lo"), F.max("_tick").alias("hi")).first()
     data = df.withColumn(flag, F.lit(False))

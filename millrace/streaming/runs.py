@@ -137,7 +137,7 @@ def replay(
     df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery]
 ) -> list[StreamingQuery]:
     """Feed a table to a stream in slices of time, oldest first, starting the query anew
-    (from its checkpoint) for each. ``run`` gets the stream and runs it to its end."""
+    (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end."""
     spark = df.sparkSession
     folder = scratch_path(spark, "stream-in")
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
@@ -146,7 +146,8 @@ def replay(
     for i in range(slices):
         part = df.where(F.col(ts) >= F.lit(span["lo"] + step * i)) if i else df
         if i < slices - 1:
-            part = part.where(F.col(ts) < F.lit(span["lo"] + step * (i + 1)))
+            before = F.col(ts) < F.lit(span["lo"] + step * (i + 1))
+            part = part.where(before if i else before | F.col(ts).isNull())
         part.write.mode("append").parquet(folder)
         queries.append(run(file_stream(spark, folder, df.schema)))
     return queries
