@@ -46,20 +46,10 @@ _WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """Hash of each word; forgets all when it has many."""
+def word_hashes(text: str) -> np.ndarray:
+    import xxhash
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, text: str) -> np.ndarray:
-        words = _WORD.findall(text.lower())
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, _WORD.findall(text.lower()))), ">u8").astype(np.uint64)
 
 
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -85,7 +75,7 @@ def class_size(number: int) -> int:
 
 def bits(h: np.ndarray) -> np.ndarray:
     """One row of 64 zeros and ones per hash."""
-    return np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return np.unpackbits(h.astype("<u8").view(np.uint8)).reshape(-1, 64)
 
 
 def running_sums(rows: np.ndarray, width: type, side: int = 64) -> np.ndarray:
@@ -159,9 +149,9 @@ class SizeClass:
     def search(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows, items and distances of all pairs within the radius."""
         parts = prints.astype("<u8").view("<u2").reshape(-1, BLOCKS)
-        maybe = np.zeros(len(prints), bool)
-        for k in range(BLOCKS):
-            maybe |= self.tables[k][parts[:, k]]
+        maybe = self.tables[0].take(parts[:, 0])
+        for k in range(1, BLOCKS):
+            maybe |= self.tables[k].take(parts[:, k])
         rows = np.flatnonzero(maybe)
         out = []
         for start in range(0, len(rows), 4096):
@@ -177,10 +167,9 @@ class SizeClass:
 
 
 def build(items: list[tuple[int | None, str]]) -> list[SizeClass]:
-    hashes = WordHashes()
     by_class: dict[int, list] = {}
     for number, text in items:
-        words = hashes.of(text)
+        words = word_hashes(text)
         if len(words):
             item = Item(number, len(words), Counter(rolled(words, SHINGLE).tolist()))
             by_class.setdefault(size_class(len(words)), []).append((fingerprint(rolled(words, 2)), item))
@@ -192,12 +181,12 @@ def build(items: list[tuple[int | None, str]]) -> list[SizeClass]:
     return out
 
 
-def search(batch: list[str], classes: list[SizeClass], hashes: WordHashes) -> list[tuple[int, Item, float, int, int]]:
+def search(batch: list[str], classes: list[SizeClass]) -> list[tuple[int, Item, float, int, int]]:
     """(place in the batch, item, similarity, first word, distance), best window of each pair."""
     if not classes:
         return []
     grain = max(1, min(4, min(c.size for c in classes) // STEPS))
-    words = [hashes.of(t) for t in batch]
+    words = [word_hashes(t) for t in batch]
     pairs = [rolled(w, 2) for w in words]
     # Blocks of `grain` pairs; a document's last block may be filled up with pairs that count nothing.
     blocks = np.array([-(-len(p) // grain) for p in pairs])
@@ -217,7 +206,8 @@ def search(batch: list[str], classes: list[SizeClass], hashes: WordHashes) -> li
         number += real[k::grain]
     del one
     # Differences of sums that wrapped around are right as long as no window has as many pairs.
-    width = np.uint16 if max(c.size for c in classes) < 60_000 else np.int64
+    longest = max(c.size for c in classes) + grain
+    width = np.uint8 if longest < 250 else np.uint16 if longest < 60_000 else np.int64
     sums = running_sums(summed, width)
     counts = np.concatenate([[0], np.cumsum(number)]).astype(np.int32)
     found: dict[tuple[int, int], list] = {}
@@ -237,7 +227,7 @@ def search(batch: list[str], classes: list[SizeClass], hashes: WordHashes) -> li
             most = sums.take(b[part], axis=0)
             most -= sums.take(a[part], axis=0)
             most = most > half[:, None]
-            prints = np.packbits(most, axis=1).view("<u8").ravel()
+            prints = np.packbits(most.ravel()).view("<u8")
             for w, item, distance in zip(*(x.tolist() for x in c.search(prints))):
                 key = (int(doc[some + w]), which, item)
                 found.setdefault(key, []).append((int(begin[some + w]) * grain, int(distance)))
@@ -282,8 +272,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     for block in item_blocks(items):
         shared = spark.sparkContext.broadcast(build(block))
 
-        def run(columns: list[list], shared=shared, hashes=WordHashes()) -> list:
-            rows = [(columns[0][i], item.number, s, at, item.words, d) for i, item, s, at, d in search(columns[1], shared.value, hashes)]
+        def run(columns: list[list], shared=shared) -> list:
+            rows = [(columns[0][i], item.number, s, at, item.words, d) for i, item, s, at, d in search(columns[1], shared.value)]
             return [list(c) for c in zip(*rows)] if rows else [[]] * 6
 
         part = map_rows(texts(docs), SCHEMA, run, 256)
@@ -297,14 +287,14 @@ def drop_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
     for block in item_blocks(items):
         shared = spark.sparkContext.broadcast(build(block))
 
-        def run(batches, shared=shared, hashes=WordHashes()):
+        def run(batches, shared=shared):
             import pyarrow as pa
 
             for batch in batches:
                 at = batch.schema.get_field_index("text")
                 for start in range(0, batch.num_rows, 256):
                     piece = batch.slice(start, 256)
-                    bad = {i for i, *_ in search([t or "" for t in piece.column(at).to_pylist()], shared.value, hashes)}
+                    bad = {i for i, *_ in search([t or "" for t in piece.column(at).to_pylist()], shared.value)}
                     yield piece.filter(pa.array([i not in bad for i in range(piece.num_rows)]))
 
         docs = docs.mapInArrow(run, docs.schema)
