@@ -92,8 +92,10 @@ def repeated_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def repeated(classes: DataFrame) -> DataFrame:
-    """Without the suffixes that are alone in their class."""
-    shared = classes.groupBy("class").agg(F.count("*").alias("_n")).where("_n > 1").select("class")
+    """Without the suffixes that are alone in their class.
+
+    The classes are stored, since a join splits a hot one only if neither side is an aggregate."""
+    shared = store(classes.groupBy("class").agg(F.count("*").alias("_n")).where("_n > 1").select("class"), "shared")
     return classes.join(shared, "class", "left_semi").select(*KEY, "at", "class")
 
 
@@ -110,7 +112,7 @@ def later_copies(runs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     )
     place = F.struct(*KEY, "at")
     origin = named.groupBy("_run").agg(F.min(place).alias("_origin"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return named.join(origin, "_run").where(place != F.col("_origin")).select(*KEY, "at", "size")
+    return named.join(store(origin, "origins"), "_run").where(place != F.col("_origin")).select(*KEY, "at", "size")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
