@@ -13,7 +13,11 @@ At a similarity of 0.85 the distance is 4.8 on average, and passes ``RADIUS`` (1
 a million. Beside the signature stands a sketch: hashes fall into 256 bins, and each bin keeps a
 byte of its least. Two sets' share of equal bins is close to their similarity, the closer the
 fewer shingles they have; at 0.85 it is below ``LIKENESS`` (0.74, five standard deviations down)
-for less than one pair in a million, so pairs below it are not fetched for the exact test.
+for less than one pair in a million, so pairs below it are not fetched for the exact test. Last
+come counts: how many shingles fall into each of 256 bins. Two sets share at most the sum of the
+lesser counts, so pairs whose bound falls short of 0.85 are surely no link; for sets of a few
+hundred shingles the bound is nearly the true number, which keeps large groups of texts just under
+the threshold from being fetched pair by pair.
 
 Pairs of a key's nodes are never all written out. Three steps find the components:
 
@@ -104,11 +108,26 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def bin_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes fall into each bin, at most 255."""
+    return np.minimum(np.bincount((hashes >> np.uint64(48)).astype(np.int64) % BINS, minlength=BINS), 255).astype(np.uint8)
+
+
+def may_link(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Which pairs of rows their counts allow to be linked; ``n`` and ``m`` are the sizes of the sets.
+
+    Where both counts of a bin were cut at 255, both sets lack shingles; the fewer count as shared."""
+    a, b = left[:, -BINS:], right[:, -BINS:]
+    lacking = np.minimum(n - a.sum(1, dtype=np.int64), m - b.sum(1, dtype=np.int64))
+    most = np.minimum(np.minimum(a, b).sum(1, dtype=np.int64) + lacking, np.minimum(n, m))
+    return DENOMINATOR * most >= NUMERATOR * (n + m - most)
+
+
 def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Which pairs of rows (signature and sketch) are within the radius and alike in their bins."""
     x, y = (np.ascontiguousarray(m[:, : 2 * MINIMA]).view("<u2") for m in (left, right))
     apart = (x != y).sum(1)
-    a, b = left[:, 2 * MINIMA :], right[:, 2 * MINIMA :]
+    a, b = left[:, 2 * MINIMA : -BINS], right[:, 2 * MINIMA : -BINS]
     filled = ((a | b) != 0).sum(1)
     same = ((a == b) & (a != 0)).sum(1)
     return (apart <= RADIUS) & (same >= LIKENESS * filled)
@@ -123,8 +142,13 @@ def first_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return chunk * CHUNK + (~equal[np.arange(len(x)), chunk]).argmax(1)
 
 
+def marks(hashes: np.ndarray) -> bytes:
+    """Signature, sketch and counts of a set, end to end."""
+    return signature(hashes).tobytes() + sketch(hashes).tobytes() + bin_counts(hashes).tobytes()
+
+
 def marks_of(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * MINIMA + BINS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * MINIMA + 2 * BINS)
 
 
 def index_keys(signatures: np.ndarray) -> np.ndarray:
@@ -154,7 +178,7 @@ def describe(docs: DataFrame) -> DataFrame:
             found = shingles(words)
             out[2].append(xxhash.xxh64_intdigest(plain) - 2**63 if len(found) else None)
             out[3].append(len(found))
-            out[4].append(signature(found).tobytes() + sketch(found).tobytes() if len(found) else None)
+            out[4].append(marks(found) if len(found) else None)
         return out
 
     return map_rows(keyed(texts(docs)).select(*KEY, "text"), "_id long, _hash long, node long, n long, sig binary", run)
@@ -178,11 +202,12 @@ def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that their sizes and signatures allow to be linked."""
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("sig").alias("_sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("sig").alias("_sb"))
-    both = pairs.join(a, "a").join(b, "b").where(sizes_allow("_na", "_nb")).select("a", "b", "_sa", "_sb")
+    both = pairs.join(a, "a").join(b, "b").where(sizes_allow("_na", "_nb")).select("a", "b", "_sa", "_sb", "_na", "_nb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = close(marks_of(batch.column(2)), marks_of(batch.column(3)))
+            x, y = marks_of(batch.column(2)), marks_of(batch.column(3))
+            good = close(x, y) & may_link(x, y, batch.column(4).to_numpy(), batch.column(5).to_numpy())
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(run, "a long, b long")
@@ -375,6 +400,8 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
                 x, y = i[some : some + (1 << 15)], j[some : some + (1 << 15)]
                 good = close(sig[x], sig[y])
                 x, y = x[good], y[good]
+                good = may_link(sig[x], sig[y], n[x], n[y])
+                x, y = x[good], y[good]
                 good = first_key(sig[x], sig[y]) == number[x]
                 left.append(node[x[good]])
                 right.append(node[y[good]])

@@ -345,3 +345,20 @@ def test_grammar():
     denied, quoted = model.clauses("not a fool")[0], model.clauses("somebody said fool")[0]
     assert aimed > plain > quoted > denied > 0
     assert model.clauses("a clean sentence. another") == []
+
+
+def test_count_bound_keeps_links():
+    """No pair at the threshold or above is refused, also where counts are cut at 255."""
+    rng = np.random.default_rng(11)
+    for size in (1, 4, 20, 150, 3_000, 120_000):
+        for share in (0.0, 0.02, 0.08, 0.2):
+            mine = rng.integers(0, 2**64, size, np.uint64)
+            other = np.concatenate([mine[int(size * share) :], rng.integers(0, 2**64, int(size * share), np.uint64)])
+            a, b = np.unique(mine), np.unique(other)
+            common = len(np.intersect1d(a, b))
+            linked = 100 * common >= 85 * (len(a) + len(b) - common)
+            x, y = (np.frombuffer(near_dedup.marks(s), np.uint8)[None] for s in (a, b))
+            allowed = near_dedup.may_link(x, y, np.array([len(a)]), np.array([len(b)]))[0]
+            assert allowed or not linked
+            if size == 150:
+                assert allowed == linked
