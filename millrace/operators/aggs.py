@@ -112,15 +112,19 @@ def ordered_lists(
     value: Column | str,
     key: Names,
     order_by: Names,
-    max_items: int = 1000,
+    max_items: int | None = None,
     out: str = "items",
     limit: int | None = None,
 ) -> DataFrame:
-    """Values of a group in order, as lists. A group beyond ``max_items`` continues in
-    further rows, numbered by ``piece``, so that no row grows without bound."""
+    """Values of a group in order, as one list. With ``max_items`` the list is cut into rows of
+    as many values, numbered by ``piece``, so that no row grows with its group."""
     keys = _names(key)
-    numbered = Ordered.of(df, keys, order_by, limit).position("_n").df
     item = F.col(value) if isinstance(value, str) else value
+    if max_items is None:
+        order = [F.col(c).alias(f"_o{i}") for i, c in enumerate(_names(order_by))]
+        whole = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, item.alias("_v")))).alias("_l"))
+        return whole.select(*keys, F.col("_l._v").alias(out))
+    numbered = Ordered.of(df, keys, order_by, limit).position("_n").df
     return (
         numbered.withColumn("piece", F.expr(f"(_n - 1) div {max_items}"))
         .groupBy(*keys, "piece")
@@ -130,11 +134,14 @@ def ordered_lists(
 
 
 def concat_text(
-    df: DataFrame, text: str, key: Names, order_by: Names, max_items: int = 1000, out: str = "text", limit: int | None = None
+    df: DataFrame, text: str, key: Names, order_by: Names, out: str = "text", limit: int | None = None
 ) -> DataFrame:
-    """Fragments joined in order; like ``ordered_lists``, continued per ``max_items``."""
-    lists = ordered_lists(df, F.coalesce(F.col(text), F.lit("")), key, order_by, max_items, "_parts", limit)
-    return lists.withColumn(out, F.array_join("_parts", "")).drop("_parts")
+    """Fragments of a group joined in order, as one text. Runs of fragments are joined first, so
+    that the fragments of a large group meet in parts; a null fragment is empty."""
+    keys = _names(key)
+    parts = ordered_lists(df, F.coalesce(F.col(text), F.lit("")), keys, order_by, 1000, "_parts", limit)
+    pieces = parts.select(*keys, "piece", F.array_join("_parts", "").alias("_text"))
+    return ordered_lists(pieces, "_text", keys, "piece", out="_parts").select(*keys, F.array_join("_parts", "").alias(out))
 
 
 def percentiles(
@@ -172,6 +179,10 @@ def sort_groups(counts: DataFrame, by: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(by))
 
 
+# spark.sql.optimizer.windowGroupLimitThreshold, as it is by default.
+GROUP_LIMIT = 1000
+
+
 def retain(
     df: DataFrame, n: int, key: Names, order_by: Names, keep: str = "oldest"
 ) -> DataFrame:
@@ -179,7 +190,8 @@ def retain(
     window): the oldest, the newest, or ``keep='fail'``.
 
     The row-number filter is a top-n that Spark applies before the shuffle too, so a hot
-    group sends ``n`` rows per task.
+    group sends ``n`` rows per task. Spark does so up to ``GROUP_LIMIT`` rows; beyond, large
+    groups are numbered in segments.
     """
     keys = _names(key)
     if keep == "fail":
@@ -190,6 +202,12 @@ def retain(
     order = [F.col(c).asc() if keep == "oldest" else F.col(c).desc() for c in _names(order_by)]
     if keep not in ("oldest", "newest"):
         raise ValueError(f"keep is 'oldest', 'newest' or 'fail', not {keep!r}")
+    if n > GROUP_LIMIT:
+        o = Ordered.of(df, keys, order_by).position("_rank")
+        if keep == "oldest":
+            return o.where(F.col("_rank") <= n).drop("_rank")
+        o = o.total({"_total": ("count", F.lit(1))})
+        return o.where(F.col("_rank") > F.col("_total") - n).drop("_rank", "_total")
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 

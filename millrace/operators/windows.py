@@ -9,27 +9,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millrace.ordered import Ordered
 
 Names = str | Sequence[str]
 
-# Spark evaluates each row of a sliding frame anew; from this frame size on a
-# difference of two running sums is cheaper. The sums start anew in each segment, so that
-# they stay small against the terms.
-PREFIX_SUM_FROM = 64
+# Spark evaluates each row of a sliding frame anew; from this frame size on two running sums
+# over blocks of as many rows are cheaper.
+BLOCK_SUM_FROM = 64
 
 
 def _moving_sum(o: Ordered, value: str, n: int, out: str) -> Ordered:
-    if n < PREFIX_SUM_FROM:
+    """Sum of the last ``n`` rows, and ``_n``, the row number. Nulls are left out, and a NaN or an
+    infinity counts in the frames that hold it, for any ``n`` and layout.
+
+    A long frame is the end of one block of ``n`` rows and the beginning of the next; both are
+    running sums within a block, so nothing is subtracted."""
+    o = o.position("_n")
+    if n < BLOCK_SUM_FROM:
         return o.bounded(lambda w: {out: F.sum(value).over(w.rowsBetween(-(n - 1), 0))}, before=n - 1)
-    return o.bounded(
-        lambda w: {out: F.col("_run") - F.coalesce(F.lag("_run", n).over(w), F.lit(0.0))},
-        before=n,
-        prepare=lambda w: {"_run": F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))},
-    )
+
+    def within_blocks(w: WindowSpec) -> dict[str, Column]:
+        block = Window.partitionBy(*o.groups, F.expr(f"(_n - 1) div {n}")).rowsBetween(Window.unboundedPreceding, 0)
+        order = o.order_by
+        return {
+            "_head": F.sum(value).over(block.orderBy(*[F.asc(c) for c in order])),
+            "_tail": F.sum(value).over(block.orderBy(*[F.desc(c) for c in order])),
+        }
+
+    def joined(w: WindowSpec) -> dict[str, Column]:
+        head, tail = F.col("_head"), F.lag("_tail", n - 1).over(w)
+        tail = F.when(F.col("_n") % n != 0, tail)  # else the frame is this block
+        return {out: F.coalesce(tail + head, head, tail)}
+
+    return o.bounded(joined, before=n - 1, prepare=within_blocks)
 
 
 def moving_average_ring(
@@ -37,7 +52,7 @@ def moving_average_ring(
 ) -> DataFrame:
     """Ring-buffer average: 0.0 for the first ``capacity - 2`` rows, then the sum of the
     last ``capacity`` rows over ``capacity``, a missing row counting as 0."""
-    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, capacity, out).position("_n")
+    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, capacity, out)
     full = F.col("_n") >= max(1, capacity - 1)
     return o.df.withColumn(out, F.when(full, F.col(out) / F.lit(float(capacity))).otherwise(F.lit(0.0))).drop("_n")
 
@@ -46,7 +61,7 @@ def moving_average(
     df: DataFrame, value: str, key: Names, order_by: Names, n: int, out: str = "moving_avg", limit: int | None = None
 ) -> DataFrame:
     """Simple moving average: 0.0 until ``n`` rows are there, then their mean."""
-    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, n, out).position("_n")
+    o = _moving_sum(Ordered.of(df, key, order_by, limit), value, n, out)
     return o.df.withColumn(
         out, F.when(F.col("_n") >= n, F.col(out) / F.lit(float(n))).otherwise(F.lit(0.0))
     ).drop("_n")

@@ -168,12 +168,13 @@ class Ordered:
         return self.rows.drop(SEG, IDX)
 
     @property
-    def _groups(self) -> list[str]:
+    def groups(self) -> list[str]:
+        """The columns that part the rows of windows: the key and, if split, the segment."""
         return self.key + [SEG] if self.split else self.key
 
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self._groups).orderBy(*self.order_by)
+        return Window.partitionBy(*self.groups).orderBy(*self.order_by)
 
     def _with(self, df: DataFrame, added: Iterable[str]) -> Ordered:
         """The same layout with further columns."""
@@ -238,10 +239,10 @@ class Ordered:
             exprs.append(agg.alias(f"_t{i}"))
         if self._stored is not None:
             try:  # from the segments as written, if they hold what is aggregated
-                return self._stored.groupBy(*self._groups).agg(*exprs)
+                return self._stored.groupBy(*self.groups).agg(*exprs)
             except AnalysisException:
                 pass
-        return self.rows.groupBy(*self._groups).agg(*exprs)
+        return self.rows.groupBy(*self.groups).agg(*exprs)
 
     def position(self, name: str = "pos") -> Ordered:
         """1-based row number within the key."""
@@ -257,17 +258,17 @@ class Ordered:
         across = {"count": "sum"}
         whole = Window.partitionBy(*self.key)
         per_segment = self._segment_totals(aggs).select(
-            *[F.col(g).alias(f"_c_{g}") for g in self._groups],
+            *[F.col(g).alias(f"_c_{g}") for g in self.groups],
             *[
                 _AGG[across.get(kind, kind)](F.col(f"_t{i}")).over(whole).alias(name)
                 for i, (name, (kind, _)) in enumerate(aggs.items())
             ],
         )
         condition = F.lit(True)
-        for g in self._groups:
+        for g in self.groups:
             condition = condition & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
         joined = self.rows.drop(*aggs).join(per_segment, condition, "left")
-        return self._with(joined.drop(*[f"_c_{g}" for g in self._groups]), aggs)
+        return self._with(joined.drop(*[f"_c_{g}" for g in self.groups]), aggs)
 
     # -- bounded frames -------------------------------------------------------
 
@@ -361,9 +362,9 @@ class Ordered:
             rows = rows.withColumn(CARRY, F.lit(None).cast("string"))
         else:
             rows = rows.join(F.broadcast(carry), self._on_groups(), "left").drop(
-                *[f"_c_{g}" for g in self._groups]
+                *[f"_c_{g}" for g in self.groups]
             )
-        groups = self._groups
+        groups = self.groups
         ordered = rows.repartition(*groups).sortWithinPartitions(*groups, *self.order_by)
         return ordered.mapInArrow(_scanner(groups, inputs, init, step, outputs, CARRY, drop=(SEG, IDX)), schema)
 
@@ -384,7 +385,7 @@ class Ordered:
         ends after ``GUESS_ROUNDS``, which bounds the work for those that never forget.
         """
         spark = self.rows.sparkSession
-        groups = self._groups
+        groups = self.groups
         spans = (
             self.rows.groupBy(*groups)
             .agg(F.lit(1).alias("_one"))

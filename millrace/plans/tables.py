@@ -434,20 +434,18 @@ def _(spark, sf):
 @query(
     "a13_ordered_window_lists",
     """
-    SELECT epoch_us(d) AS day, (n - 1) // 100 AS piece, string_agg(event_id, ',' ORDER BY n) AS ids
-    FROM (SELECT date_trunc('day', ts) AS d, event_id, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY ts, event_id) AS n
-          FROM events) GROUP BY 1, 2
+    SELECT epoch_us(date_trunc('day', ts)) AS day, string_agg(event_id, ',' ORDER BY ts, event_id) AS ids FROM events GROUP BY 1
     """,
 )
 def _(spark, sf):
     df = table(spark, sf, "events").select("event_id", "ts", F.window("ts", "1 day").start.alias("day"))
-    lists = aggs.ordered_lists(df, "event_id", "day", ORDER, max_items=100, out="ids")
-    return lists.select(micros("day").alias("day"), "piece", joined("ids").alias("ids"))
+    lists = aggs.ordered_lists(df, "event_id", "day", ORDER, out="ids")
+    return lists.select(micros("day").alias("day"), joined("ids").alias("ids"))
 
 
 @query(
     "a14_concat_fragments",
-    "SELECT conv_id, CAST(0 AS BIGINT) AS piece, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1",
+    "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY 1",
 )
 def _(spark, sf):
     return aggs.concat_text(table(spark, sf, "conversations"), "text", "conv_id", "turn")

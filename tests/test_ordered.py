@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import aggs, windows
 from millrace.ordered import Ordered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,3 +87,41 @@ def test_fold(rows, step, init, kind):
     parts = Ordered.of(rows, "key", "t", limit=40)
     assert parts.split
     assert result(parts.fold(["t"], init, step, [("out", kind)])) == result(whole)
+
+
+@pytest.mark.parametrize("key", [["key"], []])
+@pytest.mark.parametrize("n", [63, 64, 65, 130])
+def test_moving_average_of_odd_values(rows, key, n):
+    """Nulls count as no value, and a NaN only in the frames that hold it, for any n and layout."""
+    x = F.when(F.col("t") == 90, float("nan")).when(~F.col("t").between(100, 380), F.col("x") * 0.1)
+    data = rows.withColumn("x", x.cast("double"))
+    whole = windows.moving_average(data, "x", key, ["t"], n, limit=10_000)
+    parts = windows.moving_average(data, "x", key, ["t"], n, limit=40)
+    groups = {}
+    for r in sorted(data.collect(), key=lambda r: r.t):
+        groups.setdefault(r.key if key else None, []).append(r)
+    expected = {}
+    for group in groups.values():
+        for i, r in enumerate(group):
+            values = [g.x for g in group[max(0, i - n + 1) : i + 1] if g.x is not None]
+            expected[r.t] = 0.0 if i + 1 < n else sum(values) / n if values else None
+    for df in (whole, parts):
+        got = {r.t: r.moving_avg for r in df.collect()}
+        assert got == {t: pytest.approx(v, abs=1e-9, nan_ok=True) for t, v in expected.items()}
+
+
+def test_whole_lists_and_texts(spark):
+    df = spark.range(2500).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("s"))
+    got = {r.k: r.text for r in aggs.concat_text(df, "s", "k", "id", limit=300).collect()}
+    assert got == {k: "".join(map(str, range(k, 2500, 2))) for k in (0, 1)}
+    got = {r.k: r["items"] for r in aggs.ordered_lists(df, "id", "k", "id").collect()}
+    assert got == {k: list(range(k, 2500, 2)) for k in (0, 1)}
+
+
+@pytest.mark.parametrize("n", [1000, 1001])
+def test_retain_beyond_the_group_limit(spark, n):
+    df = spark.range(2600).select((F.col("id") % 2).alias("k"), "id")
+    old = sorted(r.id for r in aggs.retain(df, n, "k", "id").collect())
+    new = sorted(r.id for r in aggs.retain(df, n, "k", "id", "newest").collect())
+    assert old == list(range(2 * n))
+    assert new == list(range(2600 - 2 * n, 2600))
