@@ -5,7 +5,7 @@ back. The first four return the columns of documents:
 
 1. quality rules: documents that the rules reject go;
 2. line dedup: later copies of repeated runs of lines are cut out of the texts;
-3. near-dedup: one document of each group of near-duplicates stays;
+3. near-dedup: one document of each group of near-duplicates (five-word shingles, 0.8) stays;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: the tokens of what is left, as pieces of sequences.
 
@@ -31,7 +31,7 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, near_dedup.USUAL)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,21 +1,24 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-A text is its words (A-Z lowered, parted by ASCII white space); its set, the distinct three-word
-shingles (all words as one, if fewer). Two texts are linked when 100 times the intersection of
-their sets is at least 85 times the union. Texts with the same words are one *node*; copies are
+A text is its words (A-Z lowered, parted by ASCII white space); its set, the distinct shingles of
+a ``Rule``'s number of words (all words as one, if fewer). Two texts are linked when 100 times the
+intersection of their sets is at least the rule's percentage of the union: ``STRICT`` has three
+words and 85, ``USUAL`` five words and 80. Texts with the same words are one *node*; copies are
 never compared.
 
 A node's signature has 32 minima, 16 bits of each; the distance of two signatures is the number of
 minima that differ. The 32 are split into eight chunks of four. By the pigeonhole principle two
 signatures at a distance of 15 or less differ in one minimum at most in some chunk; so each node
 is entered under every three of a chunk's four minima (32 keys), and all such pairs share a key.
-At a similarity of 0.85 the distance is 4.8 on average, and passes ``RADIUS`` (14) for 6 pairs in
-a million. Beside the signature stands a sketch: hashes fall into 256 bins, and each bin keeps a
-byte of its least. Two sets' share of equal bins is close to their similarity, the closer the
-fewer shingles they have; at 0.85 it is below ``LIKENESS`` (0.74, five standard deviations down)
-for less than one pair in a million, so pairs below it are not fetched for the exact test. Last
-come counts: how many shingles fall into each of 256 bins. Two sets share at most the sum of the
-lesser counts, so pairs whose bound falls short of 0.85 are surely no link; for sets of a few
+At a similarity of 0.85 the distance is 4.8 on average, and passes the radius (14) for 19 pairs in
+a million. At 0.8 it is 6.4 and passes 18 for 1 in a million; of pairs at 16 to 18, for which the
+pigeonhole is no help, few share no key: 1 in a million of all pairs at 0.8. Beside the signature
+stands a sketch: hashes fall into 256 bins, and each bin keeps a byte of its least. Two sets'
+share of equal bins is close to their similarity, the closer the fewer shingles they have; it is
+below the rule's likeness (0.74 for 0.85 and 0.67 for 0.8, five standard deviations down) for less
+than one pair in a million, so pairs below it are not fetched for the exact test. Last come
+counts: how many shingles fall into each of 256 bins. Two sets share at most the sum of the lesser
+counts, so pairs whose bound falls short of the threshold are surely no link; for sets of a few
 hundred shingles the bound is nearly the true number, which keeps large groups of texts just under
 the threshold from being fetched pair by pair.
 
@@ -29,7 +32,7 @@ Pairs of a key's nodes are never all written out. Three steps find the component
    only.
 
 Only a link that was confirmed on the full sets joins components, and step 3 leaves out no pair
-of different components within the radius, so that every such link counts.
+of different components that shares a key and is within the radius, so that every such link counts.
 
 Null and empty texts, and texts without words, have no shingles and no links. The component is
 the least doc_id reachable; rows without doc_id have none to give, and where no row of a
@@ -43,6 +46,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +56,28 @@ from pyspark.sql import functions as F
 from millrace.llm.common import KEY, doc_id, keyed, map_rows, table, texts
 from millrace.session import scratch_path, store
 
-SHINGLE = 3
-NUMERATOR, DENOMINATOR = 85, 100
+DENOMINATOR = 100
 MINIMA, CHUNK = 32, 4
-RADIUS = 14
-BINS, LIKENESS = 256, 0.74
+BINS = 256
 ROUNDS, TRIES = 3, 4  # of step 2, and per node in each; step 3 leaves nothing out
 MAIN_BLOCK, OTHER_BLOCK = 2048, 512
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, least percentage of the union, and what a pair must keep to be tested."""
+
+    shingle: int
+    numerator: int
+    radius: int
+    likeness: float
+
+
+STRICT = Rule(3, 85, 14, 0.74)
+USUAL = Rule(5, 80, 18, 0.67)
+
+
 def word_hashes(text: str) -> tuple[np.ndarray, bytes]:
     """Hash of each word, and the words in their plain form."""
     import xxhash
@@ -71,13 +87,13 @@ def word_hashes(text: str) -> tuple[np.ndarray, bytes]:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), b" ".join(words)
 
 
-def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str, size: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles; empty if there are no words."""
     words, _ = word_hashes(text)
     return shingles(words, size)
 
 
-def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
     size = min(size, len(words))
     if not size:
         return words
@@ -113,24 +129,24 @@ def bin_counts(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((hashes >> np.uint64(48)).astype(np.int64) % BINS, minlength=BINS), 255).astype(np.uint8)
 
 
-def may_link(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def may_link(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray, rule: Rule = STRICT) -> np.ndarray:
     """Which pairs of rows their counts allow to be linked; ``n`` and ``m`` are the sizes of the sets.
 
     Where both counts of a bin were cut at 255, both sets lack shingles; the fewer count as shared."""
     a, b = left[:, -BINS:], right[:, -BINS:]
     lacking = np.minimum(n - a.sum(1, dtype=np.int64), m - b.sum(1, dtype=np.int64))
     most = np.minimum(np.minimum(a, b).sum(1, dtype=np.int64) + lacking, np.minimum(n, m))
-    return DENOMINATOR * most >= NUMERATOR * (n + m - most)
+    return DENOMINATOR * most >= rule.numerator * (n + m - most)
 
 
-def close(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def close(left: np.ndarray, right: np.ndarray, rule: Rule) -> np.ndarray:
     """Which pairs of rows (signature and sketch) are within the radius and alike in their bins."""
     x, y = (np.ascontiguousarray(m[:, : 2 * MINIMA]).view("<u2") for m in (left, right))
     apart = (x != y).sum(1)
     a, b = left[:, 2 * MINIMA : -BINS], right[:, 2 * MINIMA : -BINS]
     filled = ((a | b) != 0).sum(1)
     same = ((a == b) & (a != 0)).sum(1)
-    return (apart <= RADIUS) & (same >= LIKENESS * filled)
+    return (apart <= rule.radius) & (same >= rule.likeness * filled)
 
 
 def first_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -166,7 +182,7 @@ def index_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.reshape(len(signatures), -1).view(np.int64)
 
 
-def describe(docs: DataFrame) -> DataFrame:
+def describe(docs: DataFrame, rule: Rule) -> DataFrame:
     """_id, _hash, node, n (size of the set), sig of each row; node is null where there is no word."""
 
     def run(columns: list[list]) -> list:
@@ -175,7 +191,7 @@ def describe(docs: DataFrame) -> DataFrame:
         out: list[list] = [columns[0], columns[1], [], [], []]
         for text in columns[2]:
             words, plain = word_hashes(text)
-            found = shingles(words)
+            found = shingles(words, rule.shingle)
             out[2].append(xxhash.xxh64_intdigest(plain) - 2**63 if len(found) else None)
             out[3].append(len(found))
             out[4].append(marks(found) if len(found) else None)
@@ -194,26 +210,26 @@ def with_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
-def sizes_allow(n: str, m: str):
-    return NUMERATOR * F.greatest(n, m) <= DENOMINATOR * F.least(n, m)
+def sizes_allow(n: str, m: str, rule: Rule):
+    return rule.numerator * F.greatest(n, m) <= DENOMINATOR * F.least(n, m)
 
 
-def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def near(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that their sizes and signatures allow to be linked."""
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("sig").alias("_sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("sig").alias("_sb"))
-    both = pairs.join(a, "a").join(b, "b").where(sizes_allow("_na", "_nb")).select("a", "b", "_sa", "_sb", "_na", "_nb")
+    both = pairs.join(a, "a").join(b, "b").where(sizes_allow("_na", "_nb", rule)).select("a", "b", "_sa", "_sb", "_na", "_nb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = marks_of(batch.column(2)), marks_of(batch.column(3))
-            good = close(x, y) & may_link(x, y, batch.column(4).to_numpy(), batch.column(5).to_numpy())
+            good = close(x, y, rule) & may_link(x, y, batch.column(4).to_numpy(), batch.column(5).to_numpy(), rule)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, plain: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, plain: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that are linked on their full sets. ``plain`` is bucketed by node, so that texts
     move once: those of ``b``, which many pairs may share, are fetched apart and joined last,
     where a shuffle on both sides lets a common one be split."""
@@ -225,10 +241,10 @@ def confirmed(pairs: DataFrame, plain: DataFrame) -> DataFrame:
         good = []
         for a, b, ta, tb in zip(*columns):
             if tb != hub_text:
-                hub_text, hub_set = tb, shingle_set(tb)
-            other = shingle_set(ta)
+                hub_text, hub_set = tb, shingle_set(tb, rule.shingle)
+            other = shingle_set(ta, rule.shingle)
             common = len(np.intersect1d(hub_set, other, assume_unique=True))
-            if DENOMINATOR * common >= NUMERATOR * (len(hub_set) + len(other) - common):
+            if DENOMINATOR * common >= rule.numerator * (len(hub_set) + len(other) - common):
                 good.append((a, b))
         return [list(c) for c in zip(*good)] if good else [[], []]
 
@@ -264,10 +280,10 @@ def renamed(ends: DataFrame, names: DataFrame) -> DataFrame:
     return store(joined.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), "links")
 
 
-def link_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def link_texts(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """The description of each row, and (node, comp) of the nodes that are linked with others."""
     spark = docs.sparkSession
-    rows = store(describe(docs), "rows")
+    rows = store(describe(docs, rule), "rows")
     nodes = store(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
     keys = with_keys(nodes)
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
@@ -278,8 +294,8 @@ def link_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = spark.createDataFrame([], "node long, comp long")
     best = shared.where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("_n"))
     best = best.groupBy(F.col("node").alias("a")).agg(F.max_by("hub", F.struct("_n", "hub")).alias("b"))
-    tried = store(near(best, nodes), "pairs")
-    labels = merge_components(labels, store(confirmed(tried, plain), "links"))
+    tried = store(near(best, nodes, rule), "pairs")
+    labels = merge_components(labels, store(confirmed(tried, plain, rule), "links"))
 
     def by_component() -> DataFrame:
         return shared.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -297,11 +313,11 @@ def link_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rare = Window.partitionBy("node").orderBy("_comps", "hub")
         tries = tries.groupBy("node", "hub").agg(F.min("_comps").alias("_comps")).withColumn("_turn", F.row_number().over(rare))
         pairs = tries.where(F.col("_turn") <= TRIES).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        done.append(store(near(new_pairs(pairs, done), nodes), "pairs"))
-        labels = merge_components(labels, store(confirmed(done[-1], plain), "links"))
+        done.append(store(near(new_pairs(pairs, done), nodes, rule), "pairs"))
+        labels = merge_components(labels, store(confirmed(done[-1], plain, rule), "links"))
 
-    rest = new_pairs(cross_pairs(by_component(), nodes), done)
-    labels = merge_components(labels, store(confirmed(store(rest, "pairs"), plain), "links"))
+    rest = new_pairs(cross_pairs(by_component(), nodes, rule), done)
+    labels = merge_components(labels, store(confirmed(store(rest, "pairs"), plain, rule), "links"))
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return rows, labels
 
@@ -333,7 +349,7 @@ def plain_texts(docs: DataFrame, needed: DataFrame) -> str:
     return name
 
 
-def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
+def cross_pairs(by_component: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of nodes that share a key, are in different components and are within the radius.
 
     A block of a key's main component meets each block of its other nodes, and those blocks meet
@@ -394,13 +410,13 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
         while len(rows := rows[group[rows] == group[rows + apart]]):
             other = rows + apart
             least, most = np.minimum(n[rows], n[other]), np.maximum(n[rows], n[other])
-            maybe = (comp[rows] != comp[other]) & (NUMERATOR * most <= DENOMINATOR * least)
+            maybe = (comp[rows] != comp[other]) & (rule.numerator * most <= DENOMINATOR * least)
             i, j = rows[maybe], other[maybe]
             for some in range(0, len(i), 1 << 15):
                 x, y = i[some : some + (1 << 15)], j[some : some + (1 << 15)]
-                good = close(sig[x], sig[y])
+                good = close(sig[x], sig[y], rule)
                 x, y = x[good], y[good]
-                good = may_link(sig[x], sig[y], n[x], n[y])
+                good = may_link(sig[x], sig[y], n[x], n[y], rule)
                 x, y = x[good], y[good]
                 good = first_key(sig[x], sig[y]) == number[x]
                 left.append(node[x[good]])
@@ -412,15 +428,15 @@ def cross_pairs(by_component: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, rule: Rule) -> DataFrame:
     """_id, _hash, n, node and component (_comp; null where there is no word) of each row."""
-    rows, labels = link_texts(docs)
+    rows, labels = link_texts(docs, rule)
     return rows.join(labels, "node", "left").withColumn("_comp", F.coalesce("comp", "node")).drop("comp", "sig")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
-    rows = components(docs).withColumn("doc_id", doc_id())
+    rows = components(docs, rule).withColumn("doc_id", doc_id())
     # Where there is no word there is no component: such rows are not joined with each other.
     least = rows.where("node is not null").groupBy("_comp").agg(F.min("doc_id").alias("component_id"))
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -429,11 +445,11 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the least
     doc_id stays (rows without one last, then by the hash of the text), once; so do the rows
     without words, one of each doc_id."""
-    rows = components(docs)
+    rows = components(docs, rule)
     order = F.struct((F.col("_id") == -(2**63)).alias("none"), *KEY)
     first = rows.where("node is not null").groupBy("_comp").agg(F.min(order).alias("first"))
     stay = first.select("first._id", "first._hash").unionAll(rows.where("node is null").select(*KEY).distinct())
@@ -442,4 +458,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup(table(spark, folder, "documents"))
+    return near_dedup(table(spark, folder, "documents"), STRICT)
