@@ -134,10 +134,13 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def replay(
-    df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery]
+    df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery], silence: str | None = None
 ) -> list[StreamingQuery]:
     """Feed a table to a stream in slices of time, oldest first, starting the query anew
-    (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end."""
+    (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end.
+
+    With ``silence`` one row comes after the last slice, that long after the last time and null
+    in all other columns: it moves the watermark past what is still open, and stays open itself."""
     spark = df.sparkSession
     folder = scratch_path(spark, "stream-in")
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
@@ -150,4 +153,9 @@ def replay(
             part = part.where(before if i else before | F.col(ts).isNull())
         part.write.mode("append").parquet(folder)
         queries.append(run(file_stream(spark, folder, df.schema)))
+    if silence:
+        last = df.agg((F.max(ts) + F.expr(f"INTERVAL {silence}")).alias(ts))
+        row = last.select(*[F.col(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+        row.write.mode("append").parquet(folder)
+        queries.append(run(file_stream(spark, folder, df.schema)))
     return queries

@@ -1,10 +1,12 @@
 import datetime as dt
 import time
 
+import duckdb
 from pyspark.sql import functions as F
 
 from millrace.operators import stateful as rules
 from millrace.operators import timewindows
+from millrace.plans import QUERIES, SQL
 from millrace.session import scratch_path
 from millrace.sources import readers
 from millrace.streaming import runs, stateful
@@ -66,3 +68,11 @@ def test_number_stream(spark):
 def test_console(spark, capfd):
     folder = scratch_path(spark, "in")
     runs.run_console(feed(spark, folder, [1]).select("t"))
+
+
+def test_open_sessions_come_at_the_end(spark, sf):
+    db = duckdb.connect()
+    db.execute(f"create view events as select * from '{sf}/events.parquet'")
+    whole = sorted(db.execute(f"select user_id, session_start, session_end, n from ({SQL['t05_session_window']})").fetchall())
+    got = QUERIES["t05_stream_sessions"](spark, sf).select("user_id", "session_start", "session_end", "n").collect()
+    assert sorted(map(tuple, got)) == whole
