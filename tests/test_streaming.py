@@ -76,3 +76,12 @@ def test_open_sessions_come_at_the_end(spark, sf):
     whole = sorted(db.execute(f"select user_id, session_start, session_end, n from ({SQL['t05_session_window']})").fetchall())
     got = QUERIES["t05_stream_sessions"](spark, sf).select("user_id", "session_start", "session_end", "n").collect()
     assert sorted(map(tuple, got)) == whole
+
+
+def test_distinct_never_forgets(spark, tmp_path):
+    days = [(0, "a"), (149, "b"), (200, "a"), (300, "b"), (300, "c")]
+    rows = [(i, at(86_400 * d), 1, kind) for i, (d, kind) in enumerate(days)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["u05_stream_distinct"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (1, "b"), (1, "c")]
