@@ -308,6 +308,34 @@ def test_leaks(spark, sf, docs):
     assert decontamination.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_near_leaks():
+    """Copies with their last or first words or scattered ones changed, against all windows one by one."""
+    rng = np.random.default_rng(5)
+    fresh_words = lambda n: [f"w{x}" for x in rng.integers(0, 2**40, n)]
+    shingled = lambda w: collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    items, docs, expected = [], [], set()
+    for k in range(360):
+        size = (30, 38, 59, 90)[k % 4]
+        item = fresh_words(size)
+        most = (size - 4) // 9
+        changed = {0: range(size - most, size), 1: range(most), 2: rng.choice(size, max(1, most // 5), replace=False)}[k % 3]
+        copy = list(item)
+        for i in changed:
+            copy[i] = fresh_words(1)[0]
+        doc = fresh_words(int(rng.integers(0, 2 * size))) + copy + fresh_words(size)
+        own, best = shingled(item), 0.0
+        for i in range(len(doc) - size + 1):
+            common = sum((own & shingled(doc[i : i + size])).values())
+            best = max(best, common / (2 * (size - 4) - common))
+        items.append((k, " ".join(item)))
+        docs.append(" ".join(doc))
+        if best >= 0.8:
+            expected.add((k, k))
+    got = {(doc, item.number) for doc, item, *_ in decontamination.search(docs, decontamination.build(items))}
+    assert len(expected) > 300 and got <= expected
+    assert len(got) >= 0.99 * len(expected)
+
+
 def test_fingerprint_tables_hold_all_near_values():
     rng = np.random.default_rng(1)
     item = rng.integers(0, 2**63, 1, dtype=np.uint64)
