@@ -1,13 +1,16 @@
 """Secret scan in DataFrame functions only.
 
-Fixed patterns give the base spans. The method adds spans: long tokens with a digit are taken as
-a draw from the alphabet of their encoding, and three tests ask whether they look random: a
+Fixed patterns give the base spans. The method adds spans: long tokens are taken as a draw from
+the alphabet of their encoding (a value assigned with ``=`` is a token of its own; a token that has
+``+`` or ``/`` and also ``-`` or ``_`` is in no encoding, so its runs without the one or the other or
+both are taken), and three tests ask whether they look random: a
 chi-squared test that all symbols are equally likely, a runs test about the middle of the
 alphabet, and the correlation of neighbouring symbols. Fisher's sum joins the three p values.
 Tokens that are *not* random (names, numbered words, repeated patterns) are the discoveries of
 those tests, so the level at which a token is refused is set by the Benjamini-Hochberg rule
 within each class of lengths: long tokens, whose tests see more, do not set the level for short
-ones. A token that stays unrefused and that holds enough bits is a span of kind ``random``.
+ones. A token that stays unrefused and that holds enough bits is a span of kind ``random``, unless
+it lies within a longer one; runs of one token may overlap, and both are listed.
 
 All positions are code points, ends exclusive. Null and empty texts have no spans and the
 checksum of the empty list. Repeated rows are scanned one by one.
@@ -29,7 +32,9 @@ ACCESS = r"()(AKIA[A-Z0-9]+)"
 HEX = r"()((?<![0-9a-f])[0-9a-f]{32,})"
 PATTERNS = {"assign": (ASSIGN, 8), "access": (ACCESS, 16), "hex": (HEX, 32)}
 MIN_TOKEN = 20
-TOKEN = rf"()((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}})"
+# An equals sign ends a token, or pads it where nothing follows.
+TOKEN = rf"()((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}(?:=+(?![A-Za-z0-9+/_=-]))?)"
+RUNS = [rf"()([{c}]{{{MIN_TOKEN},}})" for c in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9")]
 MIN_BITS = 64
 FALSE_DISCOVERIES = 0.05
 
@@ -83,6 +88,23 @@ def spans(marked_text: Column, kind: str, least: int) -> Column:
     return F.when(F.contains(marked_text, F.lit("\x02")), walked).otherwise(none)
 
 
+def in_some_encoding(tokens: Column) -> Column:
+    """``tokens`` with the runs of those that fit no encoding in their place."""
+
+    def runs(t: Column, pattern: str) -> Column:
+        found = spans(marked(t["value"], pattern, F.lit(True)), "random", MIN_TOKEN)
+        moved = lambda s: F.struct(
+            (t["start"] + s["start"]).alias("start"), s["kind"].alias("kind"), (t["start"] + s["end"]).alias("end"), s["value"].alias("value")
+        )
+        return F.transform(found, moved)
+
+    def fitting(t: Column) -> Column:
+        mixed = t["value"].rlike("[+/]") & t["value"].rlike("[-_]")
+        return F.when(mixed, F.concat(*[runs(t, p) for p in RUNS])).otherwise(F.array(t))
+
+    return F.array_distinct(F.flatten(F.transform(tokens, fitting)))
+
+
 def all_spans(docs: DataFrame) -> DataFrame:
     """doc_id, the base spans by kind, and the tokens that the tests are to judge.
 
@@ -92,19 +114,18 @@ def all_spans(docs: DataFrame) -> DataFrame:
     clean = F.when(has("\x01") | has("\x02"), F.translate("text", "\x01\x02", "\x03\x03")).otherwise(F.col("text"))
     df = texts(docs).withColumn("text", clean)
     text = F.col("text")
-    digits = text.rlike("[0-9]")
     df = df.select(
         "doc_id",
         marked(text, PATTERNS["assign"][0], has(":") | has("=")).alias("assign"),
         marked(text, PATTERNS["access"][0], has("AKIA")).alias("access"),
         marked(text, PATTERNS["hex"][0], F.lit(True)).alias("hex"),
-        marked(text, TOKEN, digits).alias("tokens"),
+        marked(text, TOKEN, F.lit(True)).alias("tokens"),
     )
     return df.select(
         "doc_id",
         *[spans(F.col(kind), kind, least).alias(kind) for kind, (_, least) in PATTERNS.items()],
-        F.filter(spans(F.col("tokens"), "random", MIN_TOKEN), lambda s: s["value"].rlike("[0-9]")).alias("tokens"),
-    )
+        spans(F.col("tokens"), "random", MIN_TOKEN).alias("tokens"),
+    ).withColumn("tokens", in_some_encoding(F.col("tokens")))
 
 
 def listed(of: Column) -> Column:
@@ -248,7 +269,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         least = F.coalesce(F.element_at(level_of, t["stratum"]), F.lit(never)) if levels else F.lit(never)
         return (t["bits"] >= MIN_BITS) & (p_bin(t["p"]) < least)
 
-    random = plain(F.filter("tokens", stays))
+    found = found.withColumn("tokens", plain(F.filter("tokens", stays)))
+    within = lambda t, s: (s["start"] <= t["start"]) & (t["end"] <= s["end"]) & (t["end"] - t["start"] < s["end"] - s["start"])
+    random = F.filter("tokens", lambda t: ~F.exists("tokens", lambda s: within(t, s)))
     return found.select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in PATTERNS],

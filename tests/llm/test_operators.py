@@ -107,6 +107,33 @@ def test_secrets(spark, docs, rows):
     assert secrets.find_secrets(empty(spark)).count() == 0
 
 
+def test_secrets_in_longer_tokens(spark):
+    keys = ["Zx9Qv3LmT7bR2kW8pYc4NdH6", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY", "pLIixMEOLeMaEqJomTEIJEzOjo", "Tq4Lm8-Zr2Vb_9XcWk5Yd7Hn3Pf"]
+    rows = [
+        ("aws_cred=", keys[1], ""),
+        ("DB_CRED=", keys[0], " x"),
+        ("https://host.example/v?key=", keys[0], "&a=b"),
+        ("it is ", keys[2], " all letters"),
+        ("a-b/", keys[0], "/c-d"),
+        ("a/x-", keys[1], "_y/z"),
+        ("a+b/", keys[3], "/c-d"),
+        ("cred=", keys[0] + "==", ""),
+        ("", "", "xxxxyyyyxxxxyyyyxxxxyyyyxxxxyyyy x=abababababababababababab a/b-cdcdcdcdcdcdcdcdcdcdcdcdcdcd-e/f"),
+    ]
+    docs = spark.createDataFrame([(i, "".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.spans, r.n_random) for r in secrets.find_secrets(docs).collect()}
+    for i, (lead, value, _) in enumerate(rows):
+        found, number = got[i]
+        listed = found.split(",") if found else []
+        assert len(listed) == number
+        if not value or i not in (4, 5):
+            assert listed == ([f"random:{len(lead)}:{len(lead) + len(value)}"] if value else []), rows[i]
+        else:
+            # Runs of such a token may hold the short pieces beside the value, or overlap it.
+            ends = [tuple(map(int, x.split(":")[1:])) for x in listed]
+            assert any(0 <= len(lead) - a <= 2 and 0 <= b - len(lead) - len(value) <= 2 for a, b in ends), rows[i]
+
+
 def test_tokens_equal_the_tokenizer():
     coder = tokens.Encoder(tokens.tokenizer_path())
     odd = ["", " ", "a", "a b\nc", "a  b", "\n\n", "x \n y", "t\tu", "<|endoftext|> z", "it's ² ½ ünï 😀", " lead", "end\n"]
