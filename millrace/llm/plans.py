@@ -1,6 +1,19 @@
-"""The queries of this subpackage by name; none can be said in SQL alone (see the tests)."""
+"""The queries of this subpackage by name, and the SQL of those that can be said in it (for the
+others see the tests)."""
 
-from millrace.llm import binary_output, decontamination, line_dedup, near_dedup, packing, quality, quality_rules, secrets, substring_dedup, toxicity
+from millrace.llm import (
+    binary_output,
+    decontamination,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    quality_rules,
+    secrets,
+    substring_dedup,
+    toxicity,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -13,5 +26,6 @@ QUERIES = {
     "op8_near_dedup": near_dedup.query,
     "op9_packing": packing.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_vector_codes": vector_codes.query,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_vector_codes": vector_codes.sql()}
