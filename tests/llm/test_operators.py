@@ -137,7 +137,24 @@ def test_secrets_in_longer_tokens(spark):
 def test_tokens_equal_the_tokenizer():
     coder = tokens.Encoder(tokens.tokenizer_path())
     odd = ["", " ", "a", "a b\nc", "a  b", "\n\n", "x \n y", "t\tu", "<|endoftext|> z", "it's ² ½ ünï 😀", " lead", "end\n"]
-    assert coder.encode(odd) == [coder.direct(t) for t in odd]
+    odd += ["é" * 40 + " z " + "é" * 40, "z" * 70 + "\n" + "z" * 70, "a\r\nb", "x\u2028y", "Ġx y", "<|endoftext|> a <|endoftext|>"]
+    rng = np.random.default_rng(3)
+    parts = ["a", "b", "é", " ", "\n", "1", "!", "ing", "中", " the", "x" * 66]
+    odd += ["".join(rng.choice(parts, rng.integers(1, 40))) for _ in range(200)]
+    for _ in range(2):
+        # The second time most words are known.
+        ids, ends = coder.encode(odd)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_WORDS", 50)
+    coder = tokens.Encoder(tokens.tokenizer_path())
+    for i in range(20):
+        batch = [f"w{i}x{j} some {'y' * 80}{j}" for j in range(40)]
+        ids, ends = coder.encode(batch)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [coder.direct(t).tolist() for t in batch]
+        assert len(coder.number) <= 50 and len(coder.begin) == len(coder.number)
 
 
 def test_binary_records(spark, docs, rows, tmp_path_factory):
@@ -149,10 +166,15 @@ def test_binary_records(spark, docs, rows, tmp_path_factory):
         assert r.start == at
         at += r.n_tokens
         seen[r.doc_id, r.n_tokens, r.ids_crc32] += 1
-    ids = [(n, np.append(np.frombuffer(coder.direct(t), "<u2"), 2).astype("<u4")) for n, t in rows]
+    ids = [(n, np.append(coder.direct(t), 2).astype("<u4")) for n, t in rows]
     assert seen == collections.Counter((n, len(i), zlib.crc32(i.tobytes())) for n, i in ids)
     numbers = [r.doc_id for r in got]
     assert numbers == sorted(numbers, key=lambda n: (n is not None, n or 0))
+    shuffled = binary_output.read_shuffled(manifest, out, 7, 2).collect()
+    want = collections.Counter((n, i.astype("<u2").tobytes()) for n, i in ids)
+    assert collections.Counter((r.doc_id, bytes(r.ids)) for r in shuffled) == want
+    assert [r.doc_id for r in shuffled] != numbers
+    assert [r.doc_id for r in binary_output.read_shuffled(manifest, out, 7, 2).collect()] == [r.doc_id for r in shuffled]
     first = manifest.orderBy("shard").first()
     data = bytearray(open(f"{out}/{first.records}", "rb").read())
     data[14] ^= 1
@@ -167,20 +189,31 @@ def test_binary_records(spark, docs, rows, tmp_path_factory):
 def test_packing(spark, docs, rows):
     got = packing.pack_documents(clashing(docs), group=64).collect()
     coder = tokens.Encoder(tokens.tokenizer_path())
-    sequences, covered = collections.defaultdict(list), collections.Counter()
+    sequences, covered = collections.defaultdict(list), collections.defaultdict(list)
     for r in got:
         sequences[r.sequence_id].append((r.offset, r.length))
-        covered[r.doc_id] += r.length
+        covered[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
     for pieces in sequences.values():
         at = 0
         for offset, length in sorted(pieces):
             assert offset == at
             at += length
         assert at <= packing.SEQUENCE
-    sizes = collections.Counter()
+    texts_of = collections.defaultdict(list)
     for number, text in rows:
-        sizes[number] += len(coder.direct(text)) // 2 + 1
-    assert covered == sizes
+        texts_of[number].append(np.append(coder.direct(text), packing.END).astype("<u4"))
+    assert covered.keys() == texts_of.keys()
+    for number, texts in texts_of.items():
+        # Each piece fits one of the texts with this id, and every id of each lies in one piece.
+        left = collections.Counter((len(ids), i) for ids in texts for i in range(len(ids)))
+        for start, length, crc, total in covered[number]:
+            assert crc in {zlib.crc32(ids[start : start + length].tobytes()) for ids in texts if len(ids) == total}
+            left.subtract((total, i) for i in range(start, start + length))
+        assert not any(left.values())
+    again = packing.pack_documents(clashing(docs), group=64).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    other = packing.pack_documents(clashing(docs), group=64, seed=4).collect()
+    assert sorted(map(str, other)) != sorted(map(str, got))
     assert packing.pack_documents(empty(spark)).count() == 0
     bins = packing.pack([5, 3, 3, 2, 2, 2], 6)
     assert sum(b - a for pieces in bins for _, a, b in pieces) == 17
