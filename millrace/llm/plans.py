@@ -4,12 +4,14 @@ others see the tests)."""
 from millrace.llm import (
     binary_output,
     decontamination,
+    language_id,
     line_dedup,
     near_dedup,
     packing,
     quality,
     quality_rules,
     secrets,
+    spelling,
     substring_dedup,
     toxicity,
     vector_codes,
@@ -27,5 +29,10 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_line_dedup": line_dedup.query,
     "op11_vector_codes": vector_codes.query,
+    "op12_spelling_variants": spelling.query,
+    "op13_language_id": language_id.query,
+}
+SQL: dict[str, str] = {
+    "op11_vector_codes": vector_codes.sql(),
+    "op12_spelling_variants": spelling.sql(),
 }
-SQL: dict[str, str] = {"op11_vector_codes": vector_codes.sql()}
