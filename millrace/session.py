@@ -54,20 +54,25 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    # "local-cluster[...]" has executors of its own.
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="millrace-")
     sc.setCheckpointDir(folder)
     return folder
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """The path as Hadoop has it, and its file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, removed by Hadoop when the driver exits."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hadoop_path)
+    found, fs = hadoop_path(spark, path)
+    fs.deleteOnExit(found)
     return path
 
 

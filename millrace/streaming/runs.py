@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.timewindows import batches
-from millrace.session import scratch_path
+from millrace.ordered import Ordered
+from millrace.session import hadoop_path, scratch_path, store
 from millrace.sources.writers import write_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -97,9 +98,31 @@ def fan_out(targets: Mapping[str, Callable[[DataFrame], DataFrame]], folder: str
 
 
 def bounded_batches(folder: str, n: int, order_by: list[str]) -> Callable[[DataFrame, int], None]:
-    """Sink in batches of ``n`` rows: adds the number of the batch within the micro-batch."""
+    """Sink in batches of ``n`` rows: adds the number of the batch within the micro-batch, which
+    is computed once and kept until it is written."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batches(store(batch, "micro-batch"), n, order_by), folder, batch_id)
+
+    return each
+
+
+def running_totals(folder: str, value: str, out: str, order_by: list[str]) -> Callable[[DataFrame, int], None]:
+    """Sink that adds the running total of ``value`` over the whole stream, for micro-batches that
+    come in order (as those of ``millrace.streaming.timed`` do). Within a micro-batch the total
+    runs over segments, so no task holds it whole; between them one number is carried, from the
+    totals of all earlier micro-batches, so that a repeated one gets the same."""
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batches(batch, n, order_by), folder, batch_id)
+        spark = batch.sparkSession
+        kept = store(batch, "micro-batch")
+        totals, before = f"{folder}/totals", 0
+        path, fs = hadoop_path(spark, totals)
+        if fs.exists(path):
+            before = spark.read.schema("total long, batch_id long").parquet(totals).where(F.col("batch_id") < batch_id).agg(F.sum("total")).first()[0] or 0
+        numbered = Ordered.of(kept, [], order_by).running({out: ("sum", value)}).df
+        write_batch(numbered.withColumn(out, F.col(out) + before), f"{folder}/rows", batch_id)
+        write_batch(kept.agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("total")), totals, batch_id)
 
     return each
 
@@ -134,28 +157,28 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def replay(
-    df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery], silence: str | None = None
+    df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery], disorder: str | None = None
 ) -> list[StreamingQuery]:
     """Feed a table to a stream in slices of time, oldest first, starting the query anew
     (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end.
 
-    With ``silence`` one row comes after the last slice, that long after the last time and null
-    in all other columns: it moves the watermark past what is still open, and stays open itself."""
+    With ``disorder``, an interval, every other row within it before the end of a slice comes one
+    slice later, after rows that it precedes."""
     spark = df.sparkSession
     folder = scratch_path(spark, "stream-in")
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    step = (span["hi"] - span["lo"]) / slices
+    borders = [span["lo"] + (span["hi"] - span["lo"]) / slices * i for i in range(1, slices)]
+    late = F.lit(0)
+    if disorder:
+        odd = F.xxhash64(*[c for c in df.columns]) % 2 == 0
+        late = F.when(odd & F.lit(False), 1)
+        for border in borders:
+            near = (F.col(ts) < F.lit(border)) & (F.col(ts) >= F.lit(border) - F.expr(f"INTERVAL {disorder}"))
+            late = late.when(odd & near, 1)
+        late = late.otherwise(0)
+    place = sum((F.coalesce(F.col(ts) >= F.lit(b), F.lit(False)).cast("int") for b in borders), F.lit(0)) + late
     queries = []
     for i in range(slices):
-        part = df.where(F.col(ts) >= F.lit(span["lo"] + step * i)) if i else df
-        if i < slices - 1:
-            before = F.col(ts) < F.lit(span["lo"] + step * (i + 1))
-            part = part.where(before if i else before | F.col(ts).isNull())
-        part.write.mode("append").parquet(folder)
-        queries.append(run(file_stream(spark, folder, df.schema)))
-    if silence:
-        last = df.agg((F.max(ts) + F.expr(f"INTERVAL {silence}")).alias(ts))
-        row = last.select(*[F.col(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
-        row.write.mode("append").parquet(folder)
+        df.where(place == i).write.mode("append").parquet(folder)
         queries.append(run(file_stream(spark, folder, df.schema)))
     return queries

@@ -8,8 +8,6 @@ import pytest
 import __spark_entry__ as contract
 from tools.check import digest
 
-SLOW = [n for n in contract.queries() if "_stream_" in n]
-QUICK = [n for n in contract.queries() if n not in SLOW]
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +18,7 @@ def db(sf):
     return con
 
 
-@pytest.mark.parametrize("name", QUICK + ["t01_stream_tumbling_count", "t09_stream_timed_gate"])
+@pytest.mark.parametrize("name", list(contract.queries()))
 def test_query(spark, sf, db, name):
     df = contract.queries()[name](spark, sf)
     rows = df.collect()
