@@ -8,7 +8,7 @@ from millrace.operators import timewindows
 from millrace.plans import over_time, tables  # noqa: F401  (their SQL is used below)
 from millrace.plans.registry import SQL, micros, query, table
 from millrace.session import scratch_path
-from millrace.sources import readers
+from millrace.sources import committed, growing, readers
 from millrace.streaming import runs, stateful
 
 ORDER = ["ts", "event_id"]
@@ -177,6 +177,27 @@ def _(spark, sf):
     return spark.read.parquet(out).groupBy("frame").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s06_stream_growing_files", SQL["s06_tail_lines"])
+def _(spark, sf):
+    """Lines appended to known files in two goes, and a folder that joins before the second."""
+    logs, out, check = (scratch_path(spark, n) for n in ("log", "stream-out", "stream-check"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    for half, folder in ((docs.where("doc_id % 4 <> 1"), "known"), (docs.where("doc_id % 4 = 1"), "joined")):  # all are read
+        growing.append_lines(half.where("doc_id % 2 = 0"), "text", f"{logs}/known", 4)
+        growing.append_lines(half.where("doc_id % 2 <> 0"), "text", f"{logs}/{folder}", 4)
+        runs.run_append(growing.growing_lines(spark, [logs]), out, check)
+    return spark.read.parquet(out).groupBy("frame").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s14_stream_committed_files", "SELECT event_id, user_id FROM events")
+def _(spark, sf):
+    """A sink in two phases: files count once a manifest names them."""
+    events = _events(spark, sf)
+    out, check = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-check")
+    runs.replay(events, "ts", SLICES, lambda s: committed.run_committed(s.select("event_id", "user_id"), out, check))
+    return committed.read_committed(spark, out, events.select("event_id", "user_id").schema)
+
+
 @query(
     "s12_stream_bounded_batches",
     "SELECT count(*) AS n_rows, true AS within_bound FROM events",
