@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import lookup
+from millrace.operators import cells
+from millrace.ordered import Ordered
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -62,8 +63,8 @@ def disjoint(edge_list: Column, x: Column, y: Column) -> Column:
     return ~contains(edge_list, x, y)
 
 
-def distance(edge_list: Column, x: Column, y: Column) -> Column:
-    """Distance from a point to the polygon, 0 inside."""
+def edge_distance(edge_list: Column, x: Column, y: Column) -> Column:
+    """Distance from a point to the nearest edge."""
 
     def to_edge(e: Column) -> Column:
         dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
@@ -72,7 +73,12 @@ def distance(edge_list: Column, x: Column, y: Column) -> Column:
         t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
         return F.hypot(x - e["x1"] - t * dx, y - e["y1"] - t * dy)
 
-    return F.when(contains(edge_list, x, y), F.lit(0.0)).otherwise(F.array_min(F.transform(edge_list, to_edge)))
+    return F.array_min(F.transform(edge_list, to_edge))
+
+
+def distance(edge_list: Column, x: Column, y: Column) -> Column:
+    """Distance from a point to the polygon, 0 inside."""
+    return F.when(contains(edge_list, x, y), F.lit(0.0)).otherwise(edge_distance(edge_list, x, y))
 
 
 def sorted_features(features: DataFrame, code: str) -> DataFrame:
@@ -80,15 +86,11 @@ def sorted_features(features: DataFrame, code: str) -> DataFrame:
     return features.withColumn("area", area(F.col("rings"))).orderBy(code, F.desc("area"))
 
 
-def grid_cells(polygons: DataFrame, cell: float) -> DataFrame:
-    """Polygons repeated for every grid cell that their bounding box touches."""
-    outer = F.col("rings")[0]
-    xs, ys = F.transform(outer, lambda p: p["x"]), F.transform(outer, lambda p: p["y"])
-
-    def span(values: Column) -> Column:
-        return F.sequence(F.floor(F.array_min(values) / cell), F.floor(F.array_max(values) / cell))
-
-    return polygons.withColumn("_cx", F.explode(span(xs))).withColumn("_cy", F.explode(span(ys)))
+def placed_features(features: DataFrame, code: str, size: Column, key: str, limit: int | None = None) -> DataFrame:
+    """Features with their ``area`` and their ``place``, from 1, in order of (code, larger area
+    first, key)."""
+    sized = features.withColumns({"area": size, "_less": -size})
+    return Ordered.of(sized, [], [code, "_less", key], limit).position("place").df.drop("_less")
 
 
 def locate(
@@ -99,32 +101,19 @@ def locate(
     y: str,
     name: str,
     priority: Sequence[str] = (),
-    cell: float | None = None,
+    rings: str = "rings",
 ) -> DataFrame:
     """``(point_id, name)`` of the first polygon, by ``priority`` (ascending) and then by
-    larger area, that contains the point; points outside all polygons are left out.
+    larger area, that contains the point; points outside all polygons are left out, points that
+    share an id stay rows of their own.
 
-    Points and polygons meet in grid cells, an equi-join; only then are edges compared.
-    The polygon side is broadcast while it is small (see ``joins.lookup``).
+    Points and polygons meet in cells of a tree (see ``cells.locate``). With ``rings`` of more
+    dimensions, as in a shape's ``polygons``, regions may have several parts.
     """
-    if cell is None:
-        box = polygons.select(F.explode(F.col("rings")[0]).alias("p")).agg(
-            F.max("p.x") - F.min("p.x"), F.max("p.y") - F.min("p.y")
-        ).first()
-        cell = max(*[float(v or 0) for v in box], 1e-9) / 64
-    prepared = polygons.select(
-        F.col(name).alias("_name"),
-        F.struct(*priority, (-area(F.col("rings"))).alias("a"), F.col(name)).alias("_priority"),
-        edges(F.col("rings")).alias("_edges"),
-        "rings",
-    )
-    cells = grid_cells(prepared, cell).drop("rings")
-    placed = points.select(
-        point_id,
-        F.col(x).alias("_x"),
-        F.col(y).alias("_y"),
-        F.floor(F.col(x) / cell).alias("_cx"),
-        F.floor(F.col(y) / cell).alias("_cy"),
-    )
-    hits = lookup(placed, cells, ["_cx", "_cy"], "inner").where(contains(F.col("_edges"), F.col("_x"), F.col("_y")))
-    return hits.groupBy(point_id).agg(F.min_by("_name", "_priority").alias(name))
+    several = polygons.schema[rings].dataType.simpleString().count("array") == 3
+    parts = F.col(rings) if several else F.array(rings)
+    size = F.aggregate(parts, F.lit(0.0), lambda acc, r: acc + area(r))
+    regions = polygons.select(F.col(name), *[F.col(c).alias(f"_p{i}") for i, c in enumerate(priority)], (-size).alias("_less"), parts.alias("_parts"))
+    order = [*[f"_p{i}" for i in range(len(priority))], "_less", name]
+    found = cells.locate(points.select(point_id, F.col(x).alias("_x"), F.col(y).alias("_y")), regions, "_x", "_y", "_parts", order, [name])
+    return found.select(point_id, name)

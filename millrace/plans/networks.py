@@ -1,10 +1,11 @@
 """Queries for routing (R), graphs (G), places (J07, F08-F10) and user functions (X)."""
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import udf
+from millrace.functions import geometry, udf
 from millrace.operators import aggs, geo, routing
 from millrace.operators.graph import Graph
 from millrace.plans.registry import query, table
@@ -249,14 +250,83 @@ def _(spark, sf):
     return aggs.histogram(located, "name")
 
 
+# Shapes from the table of suppliers: a square of side w at (x, y), with a hole, with a second
+# square, both within nested collections, or alone; some of a type that does not exist.
+_SIZED = "SELECT s_suppkey AS k, s_name, s_nationkey, s_nationkey % 7 + 2 AS w, s_suppkey % 10 * 20 AS x, s_suppkey // 10 % 10 * 20 AS y FROM supplier"
+_AREA = "CASE WHEN k % 11 = 5 THEN 0 WHEN k % 4 = 0 THEN w * w - 1 WHEN k % 4 IN (1, 2) THEN w * w + 1 ELSE w * w END::DOUBLE"
+
+
+def _shape_texts(spark, sf):
+    sized = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS k", "s_name", "s_nationkey", "s_nationkey % 7 + 2 AS w", "s_suppkey % 10 * 20 AS x", "s_suppkey div 10 % 10 * 20 AS y"
+    )
+
+    def square(dx: int, dy: int, side) -> Column:
+        x0, y0 = F.col("x") + dx, F.col("y") + dy
+        return F.to_json(F.array(*[F.array(a, b) for a, b in ((x0, y0), (x0 + side, y0), (x0 + side, y0 + side), (x0, y0 + side), (x0, y0))]))
+
+    text = lambda kind, *parts: F.concat(F.lit(f'{{"type":"{kind}","coordinates":['), *parts, F.lit("]}"))
+    comma, outer, hole, far = F.lit(","), square(0, 0, F.col("w")), square(1, 1, F.lit(1)), square(12, 12, F.lit(1))
+    nested = F.concat(
+        F.lit('{"type":"GeometryCollection","geometries":['), text("Point", F.col("x"), comma, F.col("y")), comma, text("Polygon", outer), comma,
+        F.lit('{"type":"GeometryCollection","geometries":['), text("LineString", F.lit("[0,0],[1,1]")), comma, text("Polygon", far), F.lit("]}]}"),
+    )
+    shape = (
+        F.when(F.expr("k % 11 = 5"), F.lit('{"type":"Blob","coordinates":[1]}'))
+        .when(F.expr("k % 4 = 0"), text("Polygon", outer, comma, hole))
+        .when(F.expr("k % 4 = 1"), text("MultiPolygon", F.lit("["), outer, F.lit("],["), far, F.lit("]")))
+        .when(F.expr("k % 4 = 2"), nested)
+        .otherwise(text("Polygon", outer))
+    )
+    return sized.withColumn("text", shape)
+
+
+def _shapes(spark, sf):
+    return _shape_texts(spark, sf).withColumn("shape", geometry.shape_of("text")).drop("text")
+
+
+@query("f08_area_of_regions", f"SELECT k, {_AREA} AS area FROM ({_SIZED})")
+def _(spark, sf):
+    return _shapes(spark, sf).select("k", geometry.area(F.col("shape")).alias("area"))
+
+
+_PLACES = "SELECT event_id, (user_id % 200)::DOUBLE + 0.37 AS px, value / 2.5 + 0.0013 AS py FROM events"
+_IN_SHAPE = f"""
+    SELECT *, k % 11 <> 5 AND ((px > x AND px < x + w AND py > y AND py < y + w AND NOT (k % 4 = 0 AND px > x + 1 AND px < x + 2 AND py > y + 1 AND py < y + 2))
+        OR (k % 4 IN (1, 2) AND px > x + 12 AND px < x + 13 AND py > y + 12 AND py < y + 13)) AS inside, {_AREA} AS area
+    FROM ({_PLACES}), ({_SIZED})
+"""
+_FIRST_SHAPE = f"SELECT event_id, arg_min(s_name, (s_nationkey, -area, s_name)) AS s_name FROM ({_IN_SHAPE}) WHERE inside GROUP BY 1"
+
+
+def _places(spark, sf):
+    x, y = (F.col("user_id") % 200).cast("double") + 0.37, F.col("value") / 2.5 + 0.0013
+    return table(spark, sf, "events").select("event_id", x.alias("px"), y.alias("py"))
+
+
+def _located(spark, sf):
+    regions = _shapes(spark, sf).select("s_name", "s_nationkey", F.col("shape.polygons").alias("polygons"))
+    return geo.locate(_places(spark, sf), regions, "event_id", "px", "py", "s_name", ["s_nationkey"], "polygons")
+
+
+@query("j07_point_in_shape", _FIRST_SHAPE)
+def _(spark, sf):
+    return _located(spark, sf)
+
+
+@query("a10_histogram_by_shape", f"SELECT s_name, count(*) AS n FROM ({_FIRST_SHAPE}) GROUP BY 1")
+def _(spark, sf):
+    return aggs.histogram(_located(spark, sf), "s_name")
+
+
 @query(
-    "f08_area_of_regions",
-    f"SELECT event_id % 4 + 1 AS id, count(*) AS n_points, CASE event_id % 4 WHEN 0 THEN 1500.0 WHEN 1 THEN 100.0 WHEN 2 THEN 1550.0 ELSE 1875.0 END::DOUBLE AS area FROM events GROUP BY ALL",
+    "f10_shape_relations",
+    f"SELECT event_id, k, inside AS contains, inside AS within, NOT inside AS disjoint FROM ({_IN_SHAPE}) WHERE k = event_id % 10 + 1",
 )
 def _(spark, sf):
-    regions = _boroughs(spark).select(F.col("id").cast("long").alias("id"), geo.area(F.col("rings")).alias("area"))
-    counts = table(spark, sf, "events").groupBy((F.col("event_id") % 4 + 1).alias("id")).agg(F.count(F.lit(1)).alias("n_points"))
-    return counts.join(F.broadcast(regions), "id")  # four rows
+    args = F.col("shape"), F.col("px"), F.col("py")
+    paired = _places(spark, sf).withColumn("k", F.col("event_id") % 10 + 1).join(_shapes(spark, sf), "k")
+    return paired.select("event_id", "k", geometry.contains(*args).alias("contains"), geometry.within(*args).alias("within"), geometry.disjoint(*args).alias("disjoint"))
 
 
 def _paired(spark, sf):
@@ -297,35 +367,33 @@ def _(spark, sf):
 
 @query(
     "l02_sorted_features",
-    """
-    SELECT e.n, f.* FROM (VALUES ('Island', 1, 1500::DOUBLE), ('Core', 1, 100), ('East', 2, 1550), ('North', 3, 1875)) AS f(name, code, area),
-    LATERAL (SELECT count(*) AS n FROM events WHERE user_id % 4 = code) AS e
-    """,
+    f"SELECT row_number() OVER (ORDER BY s_nationkey, area DESC, k) AS place, k, s_nationkey, area FROM (SELECT *, {_AREA} AS area FROM ({_SIZED}))",
 )
 def _(spark, sf):
-    counts = table(spark, sf, "events").groupBy((F.col("user_id") % 4).cast("int").alias("code")).agg(F.count(F.lit(1)).alias("n"))
-    features = _boroughs(spark).join(counts, "code")
-    return geo.sorted_features(features, "code").select("n", "name", "code", "area")
+    """The place of each feature in order of (code, larger area first), ties by key."""
+    return geo.placed_features(_shapes(spark, sf), "s_nationkey", geometry.area(F.col("shape")), "k").select("place", "k", "s_nationkey", "area")
 
 
 @query(
     "s04_geojson_features",
     f"""
-    SELECT event_id % 50 AS id, concat('b', event_id % 50) AS name, count(*) AS n_features, 5 AS n_points FROM events GROUP BY ALL
+    SELECT k::VARCHAR AS id, s_name, CASE WHEN k % 11 <> 5 AND k % 4 = 2 THEN 1 ELSE 0 END AS n_points, CASE WHEN k % 11 <> 5 AND k % 4 = 2 THEN 1 ELSE 0 END AS n_lines,
+        CASE WHEN k % 11 = 5 THEN 0 WHEN k % 4 IN (1, 2) THEN 2 ELSE 1 END AS n_polygons, {_AREA} AS area,
+        CASE WHEN k % 11 = 5 THEN 'no geometry type Blob' END AS error
+    FROM ({_SIZED})
     """,
 )
 def _(spark, sf):
-    """A collection text per event, one square in it, parsed again."""
-    df = table(spark, sf, "events").select((F.col("event_id") % 50).alias("id"), "user_id")
-    square = F.format_string(
-        '{"type":"FeatureCollection","features":[{"type":"Feature","id":"%s","properties":{"borough":"b%s"},'
-        '"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1],[0,0]]]}}]}',
-        "id", "id",
+    """Collection texts with every kind of geometry, read, written as GeoJSON and read again."""
+    texts = _shape_texts(spark, sf).select(
+        F.format_string('{"type":"FeatureCollection","features":[{"type":"Feature","id":%s,"properties":{"s_name":"%s"},"geometry":%s}]}', "k", "s_name", "text").alias("value")
     )
-    features = readers.features_of(df.select(square.alias("value")), "value")
-    return features.groupBy(
-        F.col("id").cast("long").alias("id"), F.col("properties")["borough"].alias("name"), F.size(F.col("rings")[0]).alias("n_points")
-    ).agg(F.count(F.lit(1)).alias("n_features"))
+    features = readers.features_of(texts, "value")
+    again = features.select("id", "properties", F.when(F.col("geometry.error").isNull(), geometry.shape_of(geometry.geometry_json("geometry"))).otherwise(F.col("geometry")).alias("g"))
+    return again.select(
+        "id", F.col("properties")["s_name"].alias("s_name"), F.size("g.points").alias("n_points"), F.size("g.lines").alias("n_lines"),
+        F.size("g.polygons").alias("n_polygons"), geometry.area(F.col("g")).alias("area"), F.col("g.error").alias("error"),
+    )
 
 
 @query(
@@ -360,7 +428,7 @@ def _(spark, sf):
 @query("x02_map_unordered", "SELECT event_id, user_id + 1 AS y FROM events")
 def _(spark, sf):
     work = lambda pdf: pd.DataFrame({"event_id": pdf.event_id, "y": pdf.user_id + 1})
-    return udf.map_unordered(table(spark, sf, "events").select("event_id", "user_id"), work, "event_id long, y long", 8)
+    return udf.map_unordered(table(spark, sf, "events").select("event_id", "user_id"), work, "event_id long, y long")
 
 
 @query("x03_chunk_function", "SELECT CAST(sum(user_id) AS BIGINT) AS total, count(*) AS n FROM events")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.decode import frame_lines
+from millrace.functions.geometry import shape_of
 from millrace.operators.geo import RINGS
 
 # Trip log without header; the order of the fields is fixed.
@@ -29,8 +30,8 @@ TRIP = T.StructType(
     ]
 )
 
-GEOMETRY = "struct<type:string,coordinates:array<array<array<double>>>>"
-FEATURE = f"struct<id:string,properties:map<string,string>,geometry:{GEOMETRY}>"
+# Geometries stay text until ``geometry.shape_of`` reads them.
+FEATURE = "struct<id:string,properties:map<string,string>,geometry:string>"
 COLLECTION = f"struct<type:string,features:array<{FEATURE}>>"
 
 
@@ -51,14 +52,13 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def features_of(df: DataFrame, text: str) -> DataFrame:
-    """``(id, properties, rings)`` of the features in GeoJSON FeatureCollection texts.
-    Only polygons have rings."""
+    """``(id, properties, geometry, rings)`` of the features in GeoJSON FeatureCollection texts.
+    ``geometry`` is of ``geometry.SHAPE``, any type of geometry with an error where it cannot be
+    read; ``rings`` are those of a geometry that is one polygon, else null."""
     features = df.select(F.explode(F.from_json(text, COLLECTION)["features"]).alias("f"))
-    rings = F.transform(
-        "f.geometry.coordinates",
-        lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))),
-    )
-    return features.select("f.id", "f.properties", rings.cast(RINGS).alias("rings"))
+    shaped = features.select("f.id", "f.properties", shape_of("f.geometry").alias("geometry"))
+    parts = F.size("geometry.points") + F.size("geometry.lines") + F.size("geometry.polygons")
+    return shaped.withColumn("rings", F.when((parts == 1) & (F.size("geometry.polygons") == 1), F.col("geometry.polygons")[0]).cast(RINGS))
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.geometry import geometry_json
+
 
 def feature_json(df: DataFrame, properties: list[str]) -> Column:
-    """A GeoJSON feature from ``id``, ``rings`` and the property columns."""
-    coordinates = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    return F.to_json(
-        F.struct(
-            F.lit("Feature").alias("type"),
-            F.col("id").cast("string").alias("id"),
-            F.struct(*properties).alias("properties"),
-            F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"),
-        )
-    )
+    """A GeoJSON feature from ``id``, the property columns and ``geometry`` (a shape) or, without
+    one, the ``rings`` of a polygon."""
+    if "geometry" in df.columns:
+        geometry = geometry_json("geometry")
+    else:
+        coordinates = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+        geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")))
+    head = F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("id").cast("string").alias("id"), F.struct(*properties).alias("properties")))
+    return F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(',"geometry":'), geometry, F.lit("}"))
 
 
 def write_features(df: DataFrame, path: str, properties: list[str]) -> None:
@@ -27,15 +29,25 @@ def write_features(df: DataFrame, path: str, properties: list[str]) -> None:
     df.select(feature_json(df, properties).alias("value")).write.text(path)
 
 
-def feature_collection(features: DataFrame, properties: list[str]) -> str:
-    """A whole FeatureCollection text; for reference data of a few features only."""
-    texts = [r[0] for r in features.select(feature_json(features, properties)).limit(MAX_COLLECTION + 1).collect()]
-    if len(texts) > MAX_COLLECTION:
-        raise ValueError(f"more than {MAX_COLLECTION} features; use write_features")
-    return '{"type":"FeatureCollection","features":[' + ",".join(texts) + "]}"
+def feature_collections(features: DataFrame, properties: list[str], n: int = 10_000) -> DataFrame:
+    """FeatureCollection texts (``value``), each of up to ``n`` features and made by one task, so
+    that any number is written in parallel."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= n:
+                yield collection(held[:n])
+                held = held[n:]
+        if held:
+            yield collection(held)
 
+    def collection(texts: list[str]) -> pa.RecordBatch:
+        text = '{"type":"FeatureCollection","features":[' + ",".join(texts) + "]}"
+        return pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
 
-MAX_COLLECTION = 10_000
+    return features.select(feature_json(features, properties).alias("value")).mapInArrow(run, "value string")
 
 
 def code_lines(lines: DataFrame, column: str = "value") -> DataFrame:

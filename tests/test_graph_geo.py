@@ -80,11 +80,10 @@ def test_areas_and_order(boroughs):
     assert [(r["name"], r["area"]) for r in rows] == [("Island", 1500.0), ("Core", 100.0), ("East", 1550.0), ("North", 1875.0)]
 
 
-@pytest.mark.parametrize("cell", [None, 7.0, 1000.0])
-def test_locate(spark, boroughs, cell):
+def test_locate(spark, boroughs):
     points = [(1, 5.0, 5.0), (2, 15.0, 15.0), (3, 30.0, 30.0), (4, 70.0, 30.0), (5, 200.0, 5.0), (6, 5.0, 60.0), (7, 20.0, 80.0)]
     df = spark.createDataFrame(points, "id int, x double, y double")
-    got = {r["id"]: r["name"] for r in geo.locate(df, boroughs, "id", "x", "y", "name", ["code"], cell).collect()}
+    got = {r["id"]: r["name"] for r in geo.locate(df, boroughs, "id", "x", "y", "name", ["code"]).collect()}
     # in the outer ring; in its hole; in both nested ones; elsewhere; outside; ...
     assert got == {1: "Island", 3: "Island", 4: "East", 6: "North"}
 
