@@ -15,19 +15,21 @@ first copy stays; the lines of later copies are deleted, also where copies overl
 copy of every line of the corpus is kept.
 
 Rows that agree in doc_id and text are one document and get the same result. Null and empty texts
-stay as they are. A line is never cut.
+stay as they are. A line is never cut. Lines and classes are known by 128-bit hashes, whose equality
+by chance (which would delete text) is not to be expected at any size. A very long text costs time
+in proportion to its lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import KEY, keyed, map_rows, table
 from millrace.session import store
 
 MIN_CHARS = 60
-LINES = "_id long, _hash long, at int, line int, code long, ahead int, back int"
+LINES = "_id long, _hash long, at int, line int, code binary, ahead int, back int"
 BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -52,7 +54,7 @@ def _codes(columns: list[list]) -> list:
                 back[end] = end - start + 1
                 ahead[start] = ahead[start] or end - start + 1
         for at, (n, line) in enumerate(kept):
-            code = xxhash.xxh64_intdigest(line) - 2**63
+            code = xxhash.xxh3_128_digest(line)
             for column, value in zip(out, (id_, hash_, at, n, code, ahead[at], back[at])):
                 column.append(value)
     return out
@@ -82,7 +84,7 @@ def repeated_lines(docs: DataFrame, min_chars: int) -> DataFrame:
         out = later if out is None else out.unionAll(later)
         ahead = classes.select(*KEY, (F.col("at") - length).alias("at"), F.col("class").alias("_next"))
         classes = repeated(
-            classes.join(ahead, [*KEY, "at"]).select(*KEY, "at", F.xxhash64("class", "_next", F.lit(length)).alias("class"))
+            classes.join(ahead, [*KEY, "at"]).select(*KEY, "at", _named("class", "_next").alias("class"))
         )
         length *= 2
     if out is None:
@@ -91,6 +93,20 @@ def repeated_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return lines.select(*KEY, "at", "line").join(covered, [*KEY, "at"]).select(*KEY, "line")
 
 
+def _named(*parts) -> Column:
+    """128 bits for the parts, as equal names delete text: at 64 bits some would be equal by chance
+    in a large corpus."""
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def _without(text: str | None, gone: list[int] | None) -> str | None:
+    """The text without the lines of these numbers, in one pass."""
+    if gone is None:
+        return None
+    gone = set(gone)
+    return "\n".join([line for n, line in enumerate(text.split("\n")) if n not in gone])
+
+
 def repeated(classes: DataFrame) -> DataFrame:
     """Without the suffixes that are alone in their class.
 
@@ -108,7 +124,7 @@ def later_copies(runs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
         .join(first, [*KEY, "at"])
         .withColumn("_end", F.col("at") + F.col("size") - length)
         .join(last.withColumnRenamed("at", "_end"), [*KEY, "_end"])
-        .select(*KEY, "at", "size", F.xxhash64("_first", "_last", "size").alias("_run"))
+        .select(*KEY, "at", "size", _named("_first", "_last", F.col("size").cast("string").cast("binary")).alias("_run"))
     )
     place = F.struct(*KEY, "at")
     origin = named.groupBy("_run").agg(F.min(place).alias("_origin"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
@@ -122,7 +138,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     # All columns travel as one, so that no name of theirs meets a name used here.
     whole = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    left = F.array_join(F.filter(lines, lambda _, n: ~F.array_contains("_gone", n)), "\n")
+    # Only texts that lose lines go to Python.
+    left = F.udf(_without, "string", useArrow=True)(F.when(F.col("_gone").isNotNull(), F.coalesce("text", F.lit(""))), "_gone")
     held = whole.join(gone, list(KEY), "left").select(
         F.when(F.col("_gone").isNotNull(), F.col("_row").withField("text", left)).otherwise(F.col("_row")).alias("_row"),
         F.size(lines).alias("_n_lines"),

@@ -1,11 +1,16 @@
 """Toxicity: a weighted grammar of finite-state transducers over the words of a clause.
 
-A lexicon turns words into symbols: insult, threat, target, negation, report or other. Three
-transducers rewrite the symbols of a clause: negation turns an insult or threat within its reach
-into a denied one, reported speech turns those after it into quoted ones, and a target turns those
-around it into aimed ones. A last transducer gives each symbol its weight. Their composition is
-one machine, so a clause is scored in one walk; a word that merely is in the lexicon counts less
-where it is denied or quoted, and more where it is aimed at someone.
+A lexicon turns words into symbols: insult, threat, target, negation, report, announcement or
+other. A clause is read twice. From its end to its beginning, the target transducer marks insults
+and threats that have a target ahead of them, next to them or further on. From its beginning to
+its end run, one feeding the next: negation, which turns insults and threats within its reach into
+denied ones; reported speech, which turns those after it into quoted ones; the insult transducer,
+which tells insults at a target's side, or in a clause with a target, from bare ones; the threat
+transducer, which tells threats aimed ahead ("kill you"), announced ones ("will kill you") and
+those whose target stands before them ("you will be killed") from words that threaten no one; and
+last the weights. The second five are composed into one machine, so a clause is scored in one
+walk each way; a word that merely is in the lexicon counts less where it is denied or quoted, and
+more where it is aimed at someone.
 
 Insults are learnt: words and word beginnings that stand in far more toxic than other documents.
 The other lists are fixed. Learnt from at most ``MOST`` labelled documents; lang, source, doc_id
@@ -39,7 +44,12 @@ THREATS = "kill destroy hurt beat punish attack burn töten zerstören schlagen
 TARGETS = "you your yours they them he she him her du dich dein ihr euch sie tu te toi vous ils elle él ella tú ti usted ellos"
 NEGATIONS = "not no never nor without nicht kein keine nie ohne pas ne jamais sans nunca jamás sin ni"
 REPORTS = "said says called wrote quoted reportedly sagte nannte schrieb dit disait appelé écrit dijo llamó escribió"
-CLASSES = {"h": THREATS, "y": TARGETS, "n": NEGATIONS, "r": REPORTS}
+ANNOUNCEMENTS = "will shall gonna going werde werden wird wirst vais va allons voy vas vamos"
+CLASSES = {"h": THREATS, "f": ANNOUNCEMENTS, "y": TARGETS, "n": NEGATIONS, "r": REPORTS}
+# Threats also come inflected: words that begin like one, with an ending of so many letters.
+ENDINGS, LEAST_STEM, LONGEST_ENDING = ("en", "er", "re", "ar", "ir"), 4, 4
+# What a threat counts, beside insults that count by their odds.
+THREAT_STRENGTH = 4.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE = re.compile(r"[.;:!?\n]+")
@@ -73,21 +83,78 @@ def compose(first: Transducer, second: Transducer, symbols: str) -> Transducer:
     return made
 
 
-def grammar() -> Transducer:
-    """Symbols: i insult, h threat, y target, n negation, r report, o other; written: j, k for
-    denied, p, q for quoted, I, H for aimed ones."""
-    negation = Transducer(0, {(s, "n"): (3, "n", 1.0) for s in range(4)})
-    for s in range(4):
-        negation.moves[s, None] = (max(0, s - 1), None, 1.0)
+SYMBOLS = "iuvhgynrfo"
+INSULTS, THREATENING = "iuv", "hg"
+REACH = 3
+WEIGHTS = {"i": 1.0, "I": 1.2, "A": 1.5, "j": 0.4, "p": 0.6, "h": 0.0, "b": 0.5, "B": 0.8, "g": 1.0, "G": 1.5, "k": 0.1, "q": 0.3}
+
+
+def ahead() -> Transducer:
+    """Reads from the end: i becomes u with a target right after it, v with one further on; h
+    becomes g with one anywhere after it."""
+    made = Transducer(0, {(s, "y"): (1, "y", 1.0) for s in range(3)})
+    for s in range(3):
+        made.moves[s, None] = (min(2, 2 * s), None, 1.0)
+    made.moves |= {(1, "i"): (2, "u", 1.0), (2, "i"): (2, "v", 1.0), (1, "h"): (2, "g", 1.0), (2, "h"): (2, "g", 1.0)}
+    return made
+
+
+def negation() -> Transducer:
+    made = Transducer(0, {(s, "n"): (REACH, "n", 1.0) for s in range(REACH + 1)})
+    for s in range(REACH + 1):
+        made.moves[s, None] = (max(0, s - 1), None, 1.0)
         if s:
-            negation.moves[s, "i"], negation.moves[s, "h"] = (s - 1, "j", 1.0), (s - 1, "k", 1.0)
-    report = Transducer(0, {(s, "r"): (1, "r", 1.0) for s in range(2)})
-    report.moves |= {(1, "i"): (1, "p", 1.0), (1, "h"): (1, "q", 1.0)}
-    target = Transducer(0, {(s, "y"): (1, "y", 1.0) for s in range(2)})
-    target.moves |= {(1, "i"): (1, "I", 1.0), (1, "h"): (1, "H", 1.0)}
-    weights = {"i": 1.0, "I": 1.5, "j": 0.4, "p": 0.6, "h": 0.0, "H": 0.3, "k": 0.0, "q": 0.0}
-    scoring = Transducer(0, {(0, s): (0, s, weights.get(s, 0.0)) for s in "iIjphHkqynro"})
-    return compose(compose(compose(negation, report, "ihynro"), target, "ihynro"), scoring, "ihynro")
+            made.moves |= {(s, x): (s - 1, "j", 1.0) for x in INSULTS} | {(s, x): (s - 1, "k", 1.0) for x in THREATENING}
+    return made
+
+
+def report() -> Transducer:
+    made = Transducer(0, {(s, "r"): (1, "r", 1.0) for s in range(2)})
+    made.moves |= {(1, x): (1, "p", 1.0) for x in INSULTS} | {(1, x): (1, "q", 1.0) for x in THREATENING}
+    return made
+
+
+def insult() -> Transducer:
+    """State: no target yet, one right before, one further back."""
+    made = Transducer(0, {(s, "y"): (1, "y", 1.0) for s in range(3)})
+    for s in range(3):
+        after = min(2, 2 * s)
+        made.moves[s, None] = (after, None, 1.0)
+        for x in INSULTS:
+            aimed = "A" if s == 1 or x == "u" else "I" if s == 2 or x == "v" else "i"
+            made.moves[s, x] = (after, aimed, 1.0)
+    return made
+
+
+def threat() -> Transducer:
+    """State: words that an announcement still reaches, and whether a target came before."""
+    made = Transducer((0, 0))
+    for left in range(REACH + 1):
+        for seen in range(2):
+            state, after = (left, seen), (max(0, left - 1), seen)
+            made.moves[state, None] = (after, None, 1.0)
+            made.moves[state, "f"] = ((REACH, seen), "f", 1.0)
+            made.moves[state, "y"] = ((max(0, left - 1), 1), "y", 1.0)
+            made.moves[state, "g"] = (after, "G" if left else "g", 1.0)
+            made.moves[state, "h"] = (after, ("B" if left else "b") if seen else "h", 1.0)
+    return made
+
+
+def scoring() -> Transducer:
+    return Transducer(0, {(0, s): (0, s, WEIGHTS.get(s, 0.0)) for s in {*SYMBOLS, *WEIGHTS}})
+
+
+def grammar() -> Transducer:
+    made = negation()
+    for machine in (report(), insult(), threat(), scoring()):
+        made = compose(made, machine, SYMBOLS)
+    return made
+
+
+def stem(threat_word: str) -> str:
+    """What inflected forms of a threat begin with."""
+    cut = next((threat_word[: -len(e)] for e in ENDINGS if threat_word.endswith(e)), threat_word)
+    return cut if len(cut) >= LEAST_STEM else threat_word
 
 
 def entries(word: str) -> list[str]:
@@ -102,14 +169,30 @@ class Model:
     constant: float = 0.0
 
     def __post_init__(self):
-        self.machine = grammar()
+        self.machine, self.ahead = grammar(), ahead()
         self.fixed = {w: c for c, words in CLASSES.items() for w in words.split()}
+        self.stems = tuple({stem(w) for w in THREATS.split() if len(stem(w)) >= LEAST_STEM})
 
     def symbol(self, word: str) -> tuple[str, float]:
         strength = max((self.lexicon.get(e, 0.0) for e in entries(word)), default=0.0)
         if strength:
             return "i", strength
-        return self.fixed.get(word, "o"), 1.0
+        kind = self.fixed.get(word)
+        if kind is None and word.startswith(self.stems) and any(word.startswith(s) and len(word) - len(s) <= LONGEST_ENDING for s in self.stems):
+            kind = "h"
+        return kind or "o", THREAT_STRENGTH if kind == "h" else 1.0
+
+    def clause(self, symbols: list[tuple[str, float]]) -> float:
+        """The weight of one clause of (symbol, strength)."""
+        marked, state = [], self.ahead.start
+        for kind, strength in reversed(symbols):
+            state, kind, _ = self.ahead.step(state, kind)
+            marked.append((kind, strength))
+        state, total = self.machine.start, 0.0
+        for kind, strength in reversed(marked):
+            state, _, weight = self.machine.moves[state, kind]
+            total += weight * strength
+        return total
 
     def clauses(self, text: str) -> list[float]:
         """The weight of each clause that has one."""
@@ -121,11 +204,8 @@ class Model:
             return []
         out = []
         for clause in _CLAUSE.split(low):
-            state, total = self.machine.start, 0.0
-            for word in _WORD.findall(clause):
-                kind, strength = symbols.get(word, ("o", 1.0))
-                state, _, weight = self.machine.moves[state, kind]
-                total += weight * strength
+            found = [symbols.get(word, ("o", 1.0)) for word in _WORD.findall(clause)]
+            total = self.clause(found) if any(kind in "ih" for kind, _ in found) else 0.0
             if total:
                 out.append(total)
         return out
@@ -172,7 +252,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     def measure(columns: list[list]) -> list:
         return [columns[1], [model.features(t) for t in columns[0]]]
 
-    rows = map_rows(sample.select("text", "label"), "label int, features array<double>", measure).collect()
+    # Sorted, as sums over rows in another order would differ in their last digits.
+    rows = sorted(map_rows(sample.select("text", "label"), "label int, features array<double>", measure).collect())
     x, y = np.array([r[1] for r in rows]).reshape(-1, 3), np.array([r[0] for r in rows], float)
     if len(set(y)) < 2:
         return Model(lexicon, None, sizes[1] / known)

@@ -433,6 +433,49 @@ def test_grammar():
     denied, quoted = model.clauses("not a fool")[0], model.clauses("somebody said fool")[0]
     assert aimed > plain > quoted > denied > 0
     assert model.clauses("a clean sentence. another") == []
+    weight = lambda text: sum(model.clauses(text))
+    # Targets count on both sides, next to an insult more than further off.
+    assert weight("a fool, you are") == aimed > weight("you are such a fool") > plain
+    assert weight("I will kill you") > weight("kill you") > weight("you will be killed") > weight("you kill") > 0
+    assert weight("kill you") > weight("he said kill you") > weight("do not kill you") > 0
+    assert weight("killing time") == 0 and weight("ich werde dich zerstören") > 0
+
+
+def test_composed_machine_equals_the_machines_in_turn():
+    """The one machine and the five, each fed what the one before wrote, on random clauses."""
+    rng = np.random.default_rng(8)
+    composed = toxicity.grammar()
+    for _ in range(2000):
+        clause = [str(x) for x in rng.choice(list(toxicity.SYMBOLS), rng.integers(1, 12))]
+        symbols, weights = clause, np.ones(len(clause))
+        for machine in (toxicity.negation(), toxicity.report(), toxicity.insult(), toxicity.threat(), toxicity.scoring()):
+            state, written = machine.start, []
+            for i, symbol in enumerate(symbols):
+                state, symbol, weight = machine.step(state, symbol)
+                written.append(symbol)
+                weights[i] *= weight
+            symbols = written
+        state, got = composed.start, []
+        for symbol in clause:
+            state, _, weight = composed.moves[state, symbol]
+            got.append(weight)
+        assert got == weights.tolist()
+
+
+def test_marks_of_what_is_ahead():
+    """The backward machine against plain look-ahead."""
+    rng = np.random.default_rng(9)
+    machine = toxicity.ahead()
+    for _ in range(500):
+        clause = [str(x) for x in rng.choice(list("ihynrfo"), rng.integers(1, 10))]
+        state, marked = machine.start, []
+        for symbol in reversed(clause):
+            state, symbol, _ = machine.step(state, symbol)
+            marked.insert(0, symbol)
+        for i, symbol in enumerate(clause):
+            near, far = clause[i + 1 : i + 2] == ["y"], "y" in clause[i + 1 :]
+            want = {"i": "u" if near else "v" if far else "i", "h": "g" if far else "h"}.get(symbol, symbol)
+            assert marked[i] == want
 
 
 def test_count_bound_keeps_links():
@@ -450,3 +493,12 @@ def test_count_bound_keeps_links():
             assert allowed or not linked
             if size == 150:
                 assert allowed == linked
+
+
+def test_many_repeated_lines(spark):
+    """Time in proportion to the lines of one text, not to lines times removed lines."""
+    text = "\n".join(f"a line of some length, number {i % 500}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = line_dedup.dedup_lines(docs).first()
+    assert (row["_n_lines"], row["_n_removed"]) == (60_000, 59_500)
+    assert row["_row"]["text"] == "\n".join(text.split("\n")[:500])
