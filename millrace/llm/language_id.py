@@ -41,6 +41,7 @@ BEGIN = "▁"
 LONGEST = 64
 # Within Spark's limit for ranks that are taken before a shuffle.
 PER_LANGUAGE = 1000
+SPARE = 3
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = -18.0
@@ -195,8 +196,13 @@ def learnable_words(docs: DataFrame, learnable: Column, per_language: int = PER_
         F.col("lang").cast("string").alias("lang"), F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("key"), "text"
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    # Only keys below a bound that some ``SPARE`` times as many rows of the language pass are ranked,
+    # so that the rows one task ranks do not grow with the input.
+    sizes = store(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    low = (F.col("key") + 2.0**63) / 2.0**64 <= SPARE * per_language / F.col("rows")
+    near = rows.select("lang", "key").join(sizes, "lang").where(low).select("lang", "key", place.alias("place"))
     # Two short columns; the texts of the few that are picked are fetched by a second scan.
-    picked = store(rows.select("lang", "key", place.alias("place")).where(F.col("place") <= per_language).select("lang", "key").distinct(), "sample")
+    picked = store(near.where(F.col("place") <= per_language).select("lang", "key").distinct(), "sample")
     sample = rows.join(picked, ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
