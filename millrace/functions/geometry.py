@@ -22,85 +22,61 @@ DEPTH = 3
 _GEOMETRY = "type string, coordinates string, geometries array<string>"
 
 
-def _point(p: Column) -> Column:
-    return F.struct(p[0].alias("x"), p[1].alias("y"))
+# The reader is one SQL expression: built call by call it would take seconds to put together.
 
 
-def _line(line: Column) -> Column:
-    return F.transform(line, _point)
+def _line(points: str, name: str) -> str:
+    return f"transform({points}, {name} -> named_struct('x', {name}[0], 'y', {name}[1]))"
 
 
-def _ring(ring: Column) -> Column:
-    points = F.transform(ring, _point)
-    first = F.slice(points, 1, 1)
-    return F.when((F.size(points) > 0) & (F.get(points, F.lit(0)) != F.element_at(points, -1)), F.concat(points, first)).otherwise(points)
+def _polygon(rings: str, name: str) -> str:
+    """Rings, closed where they are not."""
+    r, p = f"{name}r", f"{name}p"
+    return f"transform({rings}, {r} -> {_line(f'if({r}[0] = {r}[size({r}) - 1], {r}, concat({r}, array({r}[0])))', p)})"
 
 
-def _polygon(rings: Column) -> Column:
-    return F.transform(rings, _ring)
-
-
-def _numbers(text: Column, depth: int) -> Column:
-    return F.from_json(text, "array<" * depth + "double" + ">" * depth)
-
-
-def _part(points=None, lines=None, polygons=None, error=None) -> Column:
-    return F.struct(
-        (F.array() if points is None else points).cast(f"array<{POINT}>").alias("points"),
-        (F.array() if lines is None else lines).cast(f"array<array<{POINT}>>").alias("lines"),
-        (F.array() if polygons is None else polygons).cast(f"array<array<array<{POINT}>>>").alias("polygons"),
-        (F.lit(None) if error is None else error).cast("string").alias("error"),
+def _part(points: str = "array()", lines: str = "array()", polygons: str = "array()", error: str = "null") -> str:
+    return (
+        f"named_struct('points', CAST({points} AS array<{POINT}>), 'lines', CAST({lines} AS array<array<{POINT}>>),"
+        f" 'polygons', CAST({polygons} AS array<array<array<{POINT}>>>), 'error', CAST({error} AS string))"
     )
 
 
-def _parts(text: Column, depth: int) -> Column:
+def _parts(text: str, depth: int) -> str:
     """The parts of a geometry text: an array of shapes, one for each simple geometry."""
-    g = F.from_json(text, _GEOMETRY)
-    kind, coordinates = g["type"], g["coordinates"]
-    wrong = F.array(_part(error=F.concat(F.lit("coordinates do not fit "), kind)))
-
-    def simple(name: str, depth: int, fits, make) -> tuple[str, Column]:
-        value = _numbers(coordinates, depth)
-        return name, F.when(F.coalesce(value.isNotNull() & fits(value), F.lit(False)), F.array(make(value))).otherwise(wrong)
-
-    pair = lambda p: (F.size(p) >= 2) & ~F.exists(p, lambda v: v.isNull())
-    line = lambda l: (F.size(l) >= 2) & F.forall(l, pair)
-    polygon = lambda r: (F.size(r) >= 1) & F.forall(r, lambda ring: (F.size(ring) >= 3) & F.forall(ring, pair))
-    cases = [
-        simple("Point", 1, pair, lambda v: _part(points=F.array(_point(v)))),
-        simple("MultiPoint", 2, lambda v: F.forall(v, pair), lambda v: _part(points=_line(v))),
-        simple("LineString", 2, line, lambda v: _part(lines=F.array(_line(v)))),
-        simple("MultiLineString", 3, lambda v: F.forall(v, line), lambda v: _part(lines=F.transform(v, _line))),
-        simple("Polygon", 3, polygon, lambda v: _part(polygons=F.array(_polygon(v)))),
-        simple("MultiPolygon", 4, lambda v: F.forall(v, polygon), lambda v: _part(polygons=F.transform(v, _polygon))),
+    g, v, t = f"g{depth}", f"v{depth}", f"t{depth}"
+    pair = lambda p: f"size({p}) >= 2 AND NOT exists({p}, {p}n -> {p}n IS NULL)"
+    pairs = lambda l: f"forall({l}, {l}p -> {pair(f'{l}p')})"
+    line = lambda l: f"size({l}) >= 2 AND {pairs(l)}"
+    polygon = lambda r: f"size({r}) >= 1 AND forall({r}, {r}r -> size({r}r) >= 3 AND {pairs(f'{r}r')})"
+    each = lambda fits: f"forall({v}, {v}i -> {fits(f'{v}i')})"
+    kinds = [
+        ("Point", 1, pair(v), _part(points=_line(f"array({v})", f"{v}a"))),
+        ("MultiPoint", 2, pairs(v), _part(points=_line(v, f"{v}a"))),
+        ("LineString", 2, line(v), _part(lines=f"array({_line(v, f'{v}a')})")),
+        ("MultiLineString", 3, each(line), _part(lines=f"transform({v}, {v}b -> {_line(f'{v}b', f'{v}a')})")),
+        ("Polygon", 3, polygon(v), _part(polygons=f"array({_polygon(v, f'{v}a')})")),
+        ("MultiPolygon", 4, each(polygon), _part(polygons=f"transform({v}, {v}b -> {_polygon(f'{v}b', f'{v}a')})")),
     ]
+    wrong = f"array({_part(error=f"concat('coordinates do not fit ', {g}.type)")})"
+    cases = ""
+    for name, dimensions, fits, made in kinds:
+        read = f"from_json({g}.coordinates, '{'array<' * dimensions}double{'>' * dimensions}')"
+        # Bound once, as the value is both tested and used.
+        cases += f" WHEN '{name}' THEN transform(array({read}), {v} -> if(coalesce({fits}, false), array({made}), {wrong}))[0]"
+    inner = f"array({_part(error="'collections nested too deep'")})"
     if depth:
-        inner = F.flatten(F.transform(F.coalesce(g["geometries"], F.array()), lambda t: _parts(t, depth - 1)))
-    else:
-        inner = F.array(_part(error=F.lit("collections nested too deep")))
-    out = F.when(kind == "GeometryCollection", inner)
-    for name, value in cases:
-        out = out.when(kind == name, value)
-    unknown = F.concat(F.lit("no geometry type "), F.coalesce(kind, F.lit("")))
-    # A null text in a collection is an empty geometry there.
-    return F.when(text.isNull(), F.array(_part())).otherwise(out.otherwise(F.array(_part(error=unknown))))
-
-
-def shape_of(text: Column | str, depth: int = DEPTH) -> Column:
-    """A GeoJSON geometry text as a ``SHAPE``."""
-    parts = _parts(F.col(text) if isinstance(text, str) else text, depth)
-    # Merged in one pass over the parts, so that the text is read once.
-    merged = F.aggregate(
-        parts,
-        _part(),
-        lambda acc, p: F.struct(
-            F.concat(acc["points"], p["points"]).alias("points"),
-            F.concat(acc["lines"], p["lines"]).alias("lines"),
-            F.concat(acc["polygons"], p["polygons"]).alias("polygons"),
-            F.coalesce(acc["error"], p["error"]).alias("error"),
-        ),
-    )
-    return merged.cast(SHAPE)
+        inner = f"flatten(transform(coalesce({g}.geometries, array()), {t} -> {_parts(t, depth - 1)}))"
+    unknown = f"array({_part(error=f"concat('no geometry type ', coalesce({g}.type, ''))")})"
+    read = f"CASE {g}.type WHEN 'GeometryCollection' THEN {inner}{cases} ELSE {unknown} END"
+    # A null text is an empty geometry.
+    return f"if({text} IS NULL, array({_part()}), transform(array(from_json({text}, '{_GEOMETRY}')), {g} -> {read})[0])"
+
+
+def shape_of(text: str, depth: int = DEPTH) -> Column:
+    """A column of GeoJSON geometry texts as ``SHAPE``."""
+    merged = ", ".join(f"'{part}', concat(acc.{part}, p.{part})" for part in ("points", "lines", "polygons"))
+    return F.expr(f"aggregate({_parts(text, depth)}, {_part()}, (acc, p) -> named_struct({merged}, 'error', coalesce(acc.error, p.error)))").cast(SHAPE)
 
 
 def geometry_json(shape: Column | str) -> Column:

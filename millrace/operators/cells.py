@@ -142,6 +142,8 @@ def join_level(sizes: dict[int, int], listing: int = LISTING) -> int:
 def listed(cells: DataFrame, priority: Sequence[str], payload: Sequence[str], level: int, max_level: int) -> DataFrame:
     """One row per key of ``level``: its cells in order of priority, up to the first that covers
     the whole key. A cell is an interval [lo, hi) on the curve of ``max_level``."""
+    from millrace.operators.geo import edges
+
     coarse = F.greatest(F.lit(0), F.lit(level) - F.col("level"))
     first = F.expr(f"CASE WHEN level >= {level} THEN shiftright(number, CAST(2 * (level - {level}) AS INT)) ELSE shiftleft(number, CAST(2 * ({level} - level) AS INT)) END")
     parts = F.sequence(first, first + F.pow(F.lit(4), coarse).cast("long") - 1)
@@ -154,7 +156,7 @@ def listed(cells: DataFrame, priority: Sequence[str], payload: Sequence[str], le
             F.expr(f"shiftleft(number + 1, {spread})").alias("hi"),
             "whole",
             (F.col("whole") & (F.col("level") <= level)).alias("all"),
-            "rings",
+            edges(F.col("rings")).alias("edges"),
             *payload,
         ).alias("cell"),
     )
@@ -167,7 +169,7 @@ def listed(cells: DataFrame, priority: Sequence[str], payload: Sequence[str], le
 def locate(points: DataFrame, regions: DataFrame, x: str, y: str, polygons: str, priority: Sequence[str], payload: Sequence[str], max_level: int = MAX_LEVEL, max_edges: int = MAX_EDGES) -> DataFrame:
     """Every row of ``points`` that lies in a region, with the ``payload`` columns of the first
     region by ``priority`` (columns, ascending)."""
-    from millrace.operators.geo import contains, edges
+    from millrace.operators.geo import contains
 
     corners = regions.select(F.explode(F.flatten(F.flatten(polygons))).alias("p"))
     b = corners.agg(F.min("p.x").alias("x0"), F.min("p.y").alias("y0"), F.max("p.x").alias("x1"), F.max("p.y").alias("y1")).first()
@@ -188,6 +190,7 @@ def locate(points: DataFrame, regions: DataFrame, x: str, y: str, polygons: str,
     inside = (column >= 0) & (row >= 0) & (column < 2**max_level) & (row < 2**max_level)
     placed = points.where(inside).withColumn("_z", curve_number(column, row, max_level))
     placed = placed.withColumn("_key", F.shiftright("_z", 2 * (max_level - level)))
-    holds = lambda c: (c["lo"] <= F.col("_z")) & (F.col("_z") < c["hi"]) & (c["whole"] | contains(edges(c["rings"]), F.col(x), F.col(y)))
-    found = placed.join(keys, "_key").withColumn("_hit", F.get(F.filter("_cells", holds), F.lit(0))).where(F.col("_hit").isNotNull())
+    holds = lambda c: (c["lo"] <= F.col("_z")) & (F.col("_z") < c["hi"]) & (c["whole"] | contains(c["edges"], F.col(x), F.col(y)))
+    # A generator runs the tests once for each point.
+    found = placed.join(keys, "_key").select(*points.columns, F.explode(F.slice(F.filter("_cells", holds), 1, 1)).alias("_hit"))
     return found.select(*points.columns, *[F.col("_hit")[c].alias(c) for c in payload])

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import store
 
-# Steps after which the visited vertices are written as one table again.
-COMPACT_EVERY = 8
+# Steps outwards before shortcuts are made, and how many times the edges of the graph these may have.
+PLAIN_HOPS = 8
+GROWTH = 4
 
 
 @dataclass(frozen=True)
@@ -89,23 +90,57 @@ class Graph:
         pairs = {"out": [out], "in": [into], "both": [into, out]}[direction]
         return chosen.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*").distinct()
 
-    def reachable(self, start: int | str, out: str = "id") -> DataFrame:
+    def reachable(self, start: int | str, out: str = "id", plain_hops: int = PLAIN_HOPS, growth: int = GROWTH) -> DataFrame:
         """All vertices on paths from ``start``, itself included.
 
-        One join per step outwards. Frontier and visited set are stored in the shared
-        folder, so the plan stays small and a lost executor costs one step.
+        The first steps outwards are one join each. Where they don't come to an end the graph is
+        deep, and shortcuts take over: edges of 2, 4, 8, ... hops, each the square of the last.
+        A sweep goes from the longest to the shortest once; since any distance is a sum of powers
+        of two it reaches everything up to twice the longest, and sweeps repeat until one finds
+        nothing. Squaring ends before a square would have more than ``growth`` times the edges of
+        the graph, so shortcuts stay in proportion to it whatever its shape.
+
+        All sets are stored in the shared folder: plans stay small, a lost executor costs a step.
         """
         spark = self.edges.sparkSession
         links = store(self.edges.select("src", "dst").distinct(), "links")
         frontier = self.vertices.where(F.col("id") == start).select("id")
         visited = frontier = store(frontier, "visited")
-        steps = 0
+        for _ in range(plain_hops):
+            if frontier.isEmpty():
+                return visited.withColumnRenamed("id", out)
+            frontier = _step(links, frontier, visited)
+            visited = visited.unionByName(frontier)
+        visited = store(visited, "visited")
+        levels = None
         while not frontier.isEmpty():
-            nearby = links.join(frontier.withColumnRenamed("id", "src"), "src", "left_semi")
-            found = nearby.select(F.col("dst").alias("id")).distinct().join(visited, "id", "left_anti")
+            levels = levels or self._shortcuts(links, growth)
+            found = None
+            for hops in reversed(levels):
+                sources = frontier if found is None else frontier.unionByName(found)
+                new = _step(hops, sources, visited if found is None else visited.unionByName(found))
+                found = new if found is None else found.unionByName(new)
             frontier = store(found, "frontier")
-            steps += 1
-            visited = visited.unionByName(frontier)
-            if steps % COMPACT_EVERY == 0:
-                visited = store(visited, "visited")
+            visited = store(visited.unionByName(frontier), "visited")
         return visited.withColumnRenamed("id", out)
+
+    def _shortcuts(self, links: DataFrame, growth: int) -> list[DataFrame]:
+        """Edges of 1, 2, 4, ... hops, as far as the growth and the number of vertices allow."""
+        levels, most = [links], growth * links.count()
+        longest = max(1, self.vertices.count()).bit_length()
+        while len(levels) <= longest:
+            last = levels[-1]
+            ends = last.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("into"))
+            starts = last.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out"))
+            pairs = ends.join(starts, "id").agg(F.sum(F.col("into") * F.col("out"))).first()[0] or 0
+            if not pairs or pairs > most:
+                break
+            onward = last.select(F.col("src").alias("dst"), F.col("dst").alias("_to"))
+            levels.append(store(last.join(onward, "dst").select("src", F.col("_to").alias("dst")).distinct(), "shortcuts"))
+        return levels
+
+
+def _step(links: DataFrame, sources: DataFrame, visited: DataFrame) -> DataFrame:
+    """What ``links`` lead to from ``sources`` that was not visited yet, stored."""
+    nearby = links.join(sources.withColumnRenamed("id", "src"), "src", "left_semi")
+    return store(nearby.select(F.col("dst").alias("id")).distinct().join(visited, "id", "left_anti"), "frontier")

@@ -389,7 +389,8 @@ def _(spark, sf):
         F.format_string('{"type":"FeatureCollection","features":[{"type":"Feature","id":%s,"properties":{"s_name":"%s"},"geometry":%s}]}', "k", "s_name", "text").alias("value")
     )
     features = readers.features_of(texts, "value")
-    again = features.select("id", "properties", F.when(F.col("geometry.error").isNull(), geometry.shape_of(geometry.geometry_json("geometry"))).otherwise(F.col("geometry")).alias("g"))
+    written = features.withColumn("written", geometry.geometry_json("geometry"))
+    again = written.select("id", "properties", F.when(F.col("geometry.error").isNull(), geometry.shape_of("written")).otherwise(F.col("geometry")).alias("g"))
     return again.select(
         "id", F.col("properties")["s_name"].alias("s_name"), F.size("g.points").alias("n_points"), F.size("g.lines").alias("n_lines"),
         F.size("g.polygons").alias("n_polygons"), geometry.area(F.col("g")).alias("area"), F.col("g.error").alias("error"),

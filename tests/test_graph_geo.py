@@ -1,9 +1,10 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import geo
+from millrace.operators import geo, graph
 from millrace.operators.graph import Graph
 from millrace.plans.networks import BOROUGHS
 from millrace.sources import readers
@@ -96,3 +97,46 @@ def test_distance(spark, boroughs):
     assert d(15.0, 14.0) == pytest.approx(4.0)  # in the hole
     assert d(-3.0, 20.0) == pytest.approx(3.0)
     assert math.isclose(d(20.0, 50.0), 10.0)
+
+
+def reached(edges, start):
+    ahead, seen, open_ = {}, {start}, [start]
+    for a, b in edges:
+        ahead.setdefault(a, []).append(b)
+    while open_:
+        for b in ahead.get(open_.pop(), []):
+            if b not in seen:
+                seen.add(b)
+                open_.append(b)
+    return seen
+
+
+def graph_of(spark, edges, n):
+    vertices = spark.range(n).select("id", F.lit("v").alias("label"))
+    return Graph(vertices, spark.createDataFrame(edges, "src long, dst long").withColumn("label", F.lit("e")))
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    n, stored = 10_001, []
+    keep = graph.store
+    monkeypatch.setattr(graph, "store", lambda df, label: stored.append(label) or keep(df, label))
+    got = graph_of(spark, [(i, i + 1) for i in range(n - 1)], n).reachable(0)
+    assert got.count() == n
+    assert len(stored) < 90
+
+
+def test_reachable_on_graphs_of_many_shapes(spark):
+    rng = random.Random(4)
+    shapes = {
+        "ring": [(i, (i + 1) % 100) for i in range(100)],
+        "tail into a ring": [(i, i + 1) for i in range(60)] + [(60, 30)],
+        "ladder": [(2 * i + a, 2 * i + 2 + b) for i in range(30) for a in (0, 1) for b in (0, 1)],
+        "sparse": [(rng.randrange(120), rng.randrange(120)) for _ in range(150)],
+        "trees": [(i, 3 * i + k) for i in range(1, 40) for k in (0, 1, 2)],
+        "hub": [(i, 0) for i in range(1, 50)] + [(0, i) for i in range(1, 50)],
+        "own loops": [(0, 0), (0, 1), (1, 1)],
+    }
+    for name, edges in shapes.items():
+        for start in (0, 7):
+            got = graph_of(spark, edges, 125).reachable(start, plain_hops=1)
+            assert sorted(r["id"] for r in got.collect()) == sorted(reached(edges, start)), name
