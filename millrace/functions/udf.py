@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from millrace.ordered import one_nan
+
 Names = str | Sequence[str]
 
 # Keys that a task holds while it combines.
@@ -79,7 +81,7 @@ def monoid_aggregate(
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Any]]:
         for batch in batches:
             for row in zip(*[batch.column(n).to_pylist() for n in names]):
-                yield row[:-1], row[-1]
+                yield one_nan(row[:-1]), row[-1]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Any] = {}

@@ -156,14 +156,15 @@ def percentiles(
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = Ordered.of(counts, keys, value, limit).running({"_upto": ("sum", "_n")})
     rows = ranked.total({"_total": ("sum", "_n")}).df
-    p = F.explode(F.array(*[F.lit(float(x)) for x in probabilities])).alias("p")
-    # the rank sought, in whole rows; rounded first, as 0.9 * 10 is not 9 in doubles
-    rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("p") * F.col("_total"), 6)))
-    return (
-        rows.select("*", p)
-        .where((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank))
-        .select(*keys, "p", F.col(value).alias("value"))
-    )
+
+    def sought(p: Column) -> Column:
+        # the rank sought, in whole rows; rounded first, as 0.9 * 10 is not 9 in doubles
+        rank = F.greatest(F.lit(1), F.ceil(F.round(p * F.col("_total"), 6)))
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
+
+    # Only the few values that hold a rank make rows.
+    found = F.filter(F.array(*[F.lit(float(x)) for x in probabilities]), sought)
+    return rows.select(*keys, F.explode(found).alias("p"), F.col(value).alias("value"))
 
 
 def percentiles_approx(
@@ -175,6 +176,41 @@ def percentiles_approx(
     )
 
 
+def log_linear_histogram(df: DataFrame, value: str, key: Names = (), bits: int = 7) -> DataFrame:
+    """Counts of whole numbers in buckets ``[lo, hi)`` whose width is at most 2^-``bits`` of their
+    size (numbers below 2^``bits`` have buckets of their own; negative ones mirror positive ones).
+
+    Buckets do not depend on the data, so histograms of parts, days or streams add up, and a group
+    has at most about 64 * 2^``bits`` of each sign. Null values are left out."""
+    size = F.abs(F.col(value).cast("long"))
+    # The number of binary digits beyond those that a bucket keeps.
+    shift = F.greatest(F.lit(0), F.length(F.bin(size)) - F.lit(bits + 1)).cast("int")
+    width = F.expr("shiftleft(1L, _shift)")
+    low = F.expr("shiftleft(shiftright(_size, _shift), _shift)")
+    negative = F.col(value) < 0
+    placed = df.where(F.col(value).isNotNull()).withColumns({"_size": size, "_shift": shift}).select(
+        *_names(key), F.when(negative, -low - width + 1).otherwise(low).alias("lo"), F.when(negative, -low + 1).otherwise(low + width).alias("hi")
+    )
+    return placed.groupBy(*_names(key), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile(histogram: DataFrame, probabilities: Sequence[float], key: Names = ()) -> DataFrame:
+    """Percentiles from a histogram alone: the bucket that holds each one, so the value is known
+    to the relative width of a bucket. Histograms may come in parts."""
+    keys = _names(key)
+    merged = histogram.groupBy(*keys, "lo", "hi").agg(F.sum("n").alias("n"))
+    by = Window.partitionBy(*keys).orderBy("lo")
+    # A group has a bounded number of buckets, whatever its rows.
+    ranked = merged.withColumns({"_upto": F.sum("n").over(by), "_total": F.sum("n").over(Window.partitionBy(*keys))})
+
+    def sought(p: Column) -> Column:
+        rank = F.greatest(F.lit(1), F.ceil(F.round(p * F.col("_total"), 6)))
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("n") < rank)
+
+    found = F.filter(F.array(*[F.lit(float(x)) for x in probabilities]), sought)
+    return ranked.select(*keys, F.explode(found).alias("p"), "lo", "hi")
+
+
 def sort_groups(counts: DataFrame, by: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(by))
 

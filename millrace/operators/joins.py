@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ordered import Ordered
-from millrace.session import broadcast_rows
+from millrace.session import broadcast_bytes, broadcast_rows
 
 Names = str | Sequence[str]
 
@@ -21,11 +21,16 @@ def _names(x: Names) -> list[str]:
 def lookup(left: DataFrame, right: DataFrame, on: Names | Column, how: str = "left", max_rows: int | None = None) -> DataFrame:
     """Equi-join of many rows with a reference table.
 
-    The reference side is counted, up to the bound only, and broadcast when within it.
-    Beyond the bound it is a shuffled join, whose hot keys adaptive execution splits.
+    The reference side is counted and measured, up to the bound of rows only, and broadcast
+    when it is within the bounds of rows and of bytes (its rows as JSON text, which is more than
+    they take in memory). Beyond them it is a shuffled join, whose hot keys adaptive execution
+    splits.
     """
-    bound = max_rows if max_rows is not None else broadcast_rows(left.sparkSession)
-    if right.select(F.lit(1)).limit(bound + 1).count() <= bound:
+    spark = left.sparkSession
+    bound = max_rows if max_rows is not None else broadcast_rows(spark)
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in right.columns]))))
+    rows, held = right.limit(bound + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    if rows <= bound and held <= broadcast_bytes(spark):
         right = F.broadcast(right)
     return left.join(right, on, how)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.ordered import Ordered
+from millrace.session import store
 
 Names = str | Sequence[str]
 
@@ -41,11 +42,11 @@ def interleave(
     """a, b, a, b, ... and then the rest of the longer input.
 
     The place of a row follows from its own number and the length of the other side, so
-    nothing is sorted twice.
+    nothing is sorted twice. The numbered sides are stored, and counted as stored.
     """
-    l = Ordered.of(left, [], left_order, limit).position("_n").df
-    r = Ordered.of(right, [], right_order, limit).position("_n").df
-    n_left, n_right = left.count(), right.count()
+    l = store(Ordered.of(left, [], left_order, limit).position("_n").df, "left")
+    r = store(Ordered.of(right, [], right_order, limit).position("_n").df, "right")
+    n_left, n_right = l.count(), r.count()
     place_left = F.col("_n") + F.least(F.col("_n") - 1, F.lit(n_right))
     place_right = F.col("_n") + F.least(F.col("_n"), F.lit(n_left))
     return l.withColumn(out, place_left).unionByName(r.withColumn(out, place_right)).drop("_n")
@@ -88,7 +89,8 @@ def distinct_in_last(
     previous row with the same value.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    numbered = Ordered.of(df, keys, order_by, limit).position("_n").df
+    # Stored between the two layouts, so that the second does not compute the first again.
+    numbered = store(Ordered.of(df, keys, order_by, limit).position("_n").df, "numbered")
     o = Ordered.of(numbered, [*keys, value], "_n", limit).bounded(lambda w: {"_prev": F.lag("_n").over(w)}, before=1)
     return o.where(F.col("_prev").isNull() | (F.col("_n") - F.col("_prev") >= n)).drop("_n", "_prev")
 

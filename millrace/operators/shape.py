@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.aggs import retain
 from millrace.ordered import Ordered
 
 Names = str | Sequence[str]
@@ -109,12 +110,13 @@ def drop_within(
     return o.where(F.col(ts) >= F.expr(f"_first + INTERVAL {span}")).drop("_first")
 
 
-def take(df: DataFrame, n: int, order_by: Names, key: Names = (), limit: int | None = None) -> DataFrame:
-    """The first ``n`` rows (of each key)."""
+def take(df: DataFrame, n: int, order_by: Names, key: Names = ()) -> DataFrame:
+    """The first ``n`` rows (of each key). Each task passes on ``n`` rows of a key at most, as
+    retention does; see there for large ``n``."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if not key:
         return df.orderBy(*order).limit(n)
-    return Ordered.of(df, key, order, limit).position("_n").where(F.col("_n") <= n).drop("_n")
+    return retain(df, n, key, order)
 
 
 def drop(df: DataFrame, n: int, order_by: Names, key: Names = (), limit: int | None = None) -> DataFrame:

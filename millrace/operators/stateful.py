@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.ordered import Jump, Ordered
+from millrace.session import store
 
 Names = str | Sequence[str]
 
@@ -107,7 +108,8 @@ def grouped_within(
     state forgets the past; numbering is a running count."""
     step = grouped_within_step(size, span)
     marked = Ordered.of(df, key, order_by, limit).fold([at], (0, None), step, [("_starts", T.BooleanType())])
-    numbered = Ordered.of(marked, key, order_by, limit).running({"group_no": ("sum", F.col("_starts").cast("long"))})
+    # Stored, so that the numbering does not run the fold again.
+    numbered = Ordered.of(store(marked, "marked"), key, order_by, limit).running({"group_no": ("sum", F.col("_starts").cast("long"))})
     return numbered.df.drop("_starts")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggs import retain
 from millrace.ordered import Ordered
+from millrace.session import store
 
 Names = str | Sequence[str]
 
@@ -166,7 +167,8 @@ def running_set(
     o = Ordered.of(df.withColumn("_add", is_add), member, order_by, limit)
     o = o.bounded(lambda w: {"_was": F.coalesce(F.lag("_add").over(w), F.lit(False))}, before=1)
     delta = F.col("_add").cast("int") - F.col("_was").cast("int")
-    changes = o.df.withColumn("_delta", delta)
+    # Stored between the two layouts, so that the second does not compute the first again.
+    changes = store(o.df.withColumn("_delta", delta), "changes")
     sized = Ordered.of(changes, [], order_by, limit).running({"set_size": ("sum", "_delta")}).df
     return sized.withColumns(
         {"changed": F.col("_delta") != 0, "reply": F.when(F.col("_add"), "Added").otherwise("Removed")}

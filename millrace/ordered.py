@@ -394,7 +394,7 @@ class Ordered:
             .select(*groups)
         )
         group_type = spans.schema
-        pairs = sorted((tuple(r) for r in spans.collect()), key=lambda p: p[-1])
+        pairs = sorted((one_nan(r) for r in spans.collect()), key=lambda p: p[-1])
         if not pairs:
             return None
         chains: dict[tuple, list[tuple]] = {}
@@ -442,12 +442,20 @@ class Ordered:
             ordered = rows.repartition(*groups).sortWithinPartitions(*groups, *self.order_by)
             exits = ordered.mapInArrow(_exit_scanner(groups, inputs, init, step, exit_type, jump), exit_type)
             for r in exits.collect():
-                p = tuple(r)[:-3]
+                p = one_nan(r)[:-3]
                 known[(p, r["_entry"])] = guess[p] = r["_exit"]
                 summaries[p] = json.loads(r["_summary"])
             rounds += 1
 
 
+_NAN = float("nan")
+
+
+def one_nan(values: Iterable) -> tuple:
+    """The values with the same object for every not-a-number: as in Spark, these then are one key."""
+    return tuple([_NAN if v != v else v for v in values])
+
+
 def _scanner(groups, inputs, init, step, outputs, carry, drop=()):
     """A ``mapInArrow`` function over rows sorted by group and order."""
     names = [n for n, _ in outputs]
@@ -457,7 +465,7 @@ def _scanner(groups, inputs, init, step, outputs, carry, drop=()):
         current, state = None, init
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in inputs]
-            group_of = zip(*[batch.column(g).to_pylist() for g in groups])
+            group_of = map(one_nan, zip(*[batch.column(g).to_pylist() for g in groups]))
             entry = batch.column(carry).to_pylist() if carry else [None] * batch.num_rows
             out: list[tuple] = []
             for group, start, values in zip(group_of, entry, zip(*columns)):
@@ -482,7 +490,7 @@ def _exit_scanner(groups, inputs, init, step, exit_type, jump):
         current, entry, state, summary, done = None, None, init, None, []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in inputs]
-            group_of = zip(*[batch.column(g).to_pylist() for g in groups])
+            group_of = map(one_nan, zip(*[batch.column(g).to_pylist() for g in groups]))
             for group, start, values in zip(group_of, batch.column(CARRY).to_pylist(), zip(*columns)):
                 if group != current:
                     if current is not None:

@@ -189,6 +189,14 @@ def _(spark, sf):
     return spark.read.parquet(out).groupBy("frame").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s15_stream_console", "SELECT event_id, user_id FROM events")
+def _(spark, sf):
+    """Every micro-batch is shown, its first rows on the console, and kept."""
+    out = scratch_path(spark, "stream-out")
+    _batched(_events(spark, sf), lambda s: s.select("event_id", "user_id"), runs.console_and(out, 2))
+    return spark.read.parquet(out).select("event_id", "user_id")
+
+
 @query("s14_stream_committed_files", "SELECT event_id, user_id FROM events")
 def _(spark, sf):
     """A sink in two phases: files count once a manifest names them."""

@@ -451,6 +451,35 @@ def _(spark, sf):
     return aggs.concat_text(table(spark, sf, "conversations"), "text", "conv_id", "turn")
 
 
+_BUCKETS = """
+    SELECT event_type, v // w * w AS lo, v // w * w + w AS hi, count(*) AS n
+    FROM (SELECT *, CAST(pow(2, greatest(0, length(bin(v)) - 8)) AS BIGINT) AS w FROM (SELECT event_type, CAST(floor(value * 1000) AS BIGINT) AS v FROM events))
+    GROUP BY ALL
+"""
+
+
+@query("a15_log_linear_histogram", _BUCKETS)
+def _(spark, sf):
+    df = table(spark, sf, "events").select("event_type", F.floor(F.col("value") * 1000).alias("v"))
+    return aggs.log_linear_histogram(df, "v", "event_type")
+
+
+@query(
+    "a15_profile",
+    f"""
+    SELECT event_type, p, min(lo) AS lo, min(hi) AS hi
+    FROM (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY lo) AS upto, sum(n) OVER (PARTITION BY event_type) AS total FROM ({_BUCKETS})),
+         (VALUES (0.0::DOUBLE), (0.5), (0.9), (0.99), (1.0)) AS q(p)
+    WHERE upto >= greatest(1, ceil(round(p * total, 6))) GROUP BY 1, 2
+    """,
+)
+def _(spark, sf):
+    """Percentiles of a table from the histograms of its parts."""
+    df = table(spark, sf, "events").select("event_id", "event_type", F.floor(F.col("value") * 1000).alias("v"))
+    halves = [aggs.log_linear_histogram(df.where(half), "v", "event_type") for half in ("event_id % 2 = 0", "event_id % 2 <> 0")]
+    return aggs.profile(halves[0].unionByName(halves[1]), [0.0, 0.5, 0.9, 0.99, 1.0], "event_type")
+
+
 @query(
     "a15_percentiles",
     """

@@ -128,3 +128,23 @@ def _(spark, sf):
     """Two sources, merged into one sequence per key."""
     both = lambda s: s.where("event_id % 2 = 0").unionByName(s.where("event_id % 2 <> 0"))
     return _replayed(_events(spark, sf), timed.merged_in_order("ts", "user_id", ORDER), both).select("event_id", "user_id", "position")
+
+
+@query(
+    "x06_stateful_operator",
+    """
+    SELECT event_id, user_id, max(value) OVER w AS high, count(*) OVER w AS n FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+    """,
+)
+def _(spark, sf):
+    """A user's own operator with state: the highest value so far and how many there were."""
+
+    def step(state, value):
+        high, n = state
+        high = value if high is None or (value is not None and value > high) else high
+        return (high, n + 1), (high, n + 1)
+
+    outputs = [("high", T.DoubleType()), ("n", T.LongType())]
+    operator = timed.in_order("ts", "user_id", ORDER, ["value"], (None, 0), step, outputs)
+    return _replayed(_events(spark, sf, "value"), operator).select("event_id", "user_id", "high", "n")

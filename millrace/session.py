@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TASK_CONF = "spark.millrace.rowsPerTask"
 DEFAULT_ROWS_PER_TASK = 5_000_000
 
-# A side of a join may be broadcast when it was counted and has at most this many rows.
+# A side of a join may be broadcast when it was counted and has at most this many rows, and its
+# rows as text at most this many bytes.
 BROADCAST_ROWS_CONF = "spark.millrace.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 200_000
+BROADCAST_BYTES_CONF = "spark.millrace.broadcastBytes"
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = 8, app: str = "millrace", **conf: str) -> SparkSession:
@@ -42,6 +45,10 @@ def broadcast_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables that every executor can reach.
 

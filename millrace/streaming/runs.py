@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.timewindows import batches
 from millrace.ordered import Ordered
 from millrace.session import hadoop_path, scratch_path, store
-from millrace.sources.writers import write_batch
+from millrace.sources.writers import show, write_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -73,6 +73,16 @@ def run_console(stream: DataFrame, n: int = 20) -> StreamingQuery:
     return query
 
 
+def console_and(folder: str, n: int = 20) -> Callable[[DataFrame, int], None]:
+    """Sink that prints some rows of every micro-batch, which is computed once, and writes it."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, folder, batch_id)
+        show(batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/batch_id={batch_id}"), n)
+
+    return each
+
+
 def stop_after(query: StreamingQuery, seconds: float) -> bool:
     """Interrupt a running query after a time; True if it had ended by itself. What its
     checkpoint holds is taken up by the next start."""
