@@ -5,12 +5,20 @@ the alphabet of their encoding (a value assigned with ``=`` is a token of its ow
 ``+`` or ``/`` and also ``-`` or ``_`` is in no encoding, so its runs without the one or the other or
 both are taken), and three tests ask whether they look random: a
 chi-squared test that all symbols are equally likely, a runs test about the middle of the
-alphabet, and the correlation of neighbouring symbols. Fisher's sum joins the three p values.
-Tokens that are *not* random (names, numbered words, repeated patterns) are the discoveries of
-those tests, so the level at which a token is refused is set by the Benjamini-Hochberg rule
-within each class of lengths: long tokens, whose tests see more, do not set the level for short
-ones. A token that stays unrefused and that holds enough bits is a span of kind ``random``, unless
-it lies within a longer one; runs of one token may overlap, and both are listed.
+alphabet, and the correlation of neighbouring symbols. Fisher's sum joins the three p values, and
+a token below ``BATTERY_LEVEL`` is not random.
+
+What passes need not be a secret: names and joined words are too short for such tests. So each
+token is also held against ordinary ones: the corpus itself tells how likely a letter is after
+another (pairs of letters in all words of all texts), and fixed shares how often letters, digits
+and signs follow each other and cases change. The ratio of a token's likelihood as a uniform draw
+to that as an ordinary token has the mean 1 over ordinary tokens, so ordinary tokens reach a ratio
+r in 1 of r cases at most, and 1/r is a p value under "ordinary". The Benjamini-Hochberg rule on
+these, within each class of lengths, makes the secrets the discoveries: among those reported,
+ordinary tokens are expected to be ``FALSE_DISCOVERIES`` at most, and long tokens, which tell
+more, do not set the level for short ones. A token that is discovered, that the tests do not
+refuse and that holds enough bits is a span of kind ``random``, unless it lies within a longer
+one; runs of one token may overlap, and both are listed.
 
 All positions are code points, ends exclusive. Null and empty texts have no spans and the
 checksum of the empty list. Repeated rows are scanned one by one.
@@ -18,6 +26,8 @@ checksum of the empty list. Repeated rows are scanned one by one.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +47,14 @@ TOKEN = rf"()((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}(?:=+(?![A-Za-z
 RUNS = [rf"()([{c}]{{{MIN_TOKEN},}})" for c in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9")]
 MIN_BITS = 64
 FALSE_DISCOVERIES = 0.05
+BATTERY_LEVEL = 0.001
+
+# Ordinary tokens: shares with which a letter, digit or sign follows another, and of letters that
+# keep the case of the letter before.
+FOLLOWS = {"letter": (0.93, 0.03, 0.04), "digit": (0.02, 0.96, 0.02), "sign": (0.8, 0.15, 0.05)}
+SAME_CASE = 0.9
+# Added to each count of a pair of letters.
+PRIOR = 0.5
 
 # Alphabets by encoding, each in the order of its symbols' values.
 DIGITS = "0123456789"
@@ -162,10 +180,50 @@ def _pairs(codes: Column, fn) -> Column:
     return F.zip_with(F.slice(codes, F.lit(1), F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes) - 1), fn)
 
 
-def scored(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (an array column of spans) with the joint p value, the bits and the class of
-    lengths of each; tokens in no encoding go. The tests are written step by step, so that each
-    value is worked out once."""
+def letter_pairs(docs: DataFrame) -> list[float]:
+    """Logarithm of the share of each letter after each other letter (row 26: at the beginning of
+    a word), row by row, over all words of all texts. The words are counted first, so that pairs
+    are cut from different words only; the driver gets 702 numbers."""
+    words = texts(docs).select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).where("word <> ''")
+    words = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    letters = F.split("word", "")
+    pairs = F.arrays_zip(F.concat(F.array(F.lit("^")), F.slice(letters, F.lit(1), F.length("word") - 1)).alias("a"), letters.alias("b"))
+    counted = words.select(F.inline(pairs), "n").toDF("a", "b", "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = [PRIOR] * (27 * 26)
+    for r in counted.collect():
+        counts[(26 if r["a"] == "^" else LOWER.index(r["a"])) * 26 + LOWER.index(r["b"])] += r["n"]
+    rows = [sum(counts[i : i + 26]) for i in range(0, 27 * 26, 26)]
+    return [math.log(c / rows[i // 26]) for i, c in enumerate(counts)]
+
+
+def ordinary(value: Column, pairs: list[float]) -> Column:
+    """Logarithm of a token's likelihood as an ordinary one."""
+    table_ = F.array(*[F.lit(p) for p in pairs])
+    follows = F.array(*[F.lit(math.log(p)) for of in FOLLOWS.values() for p in of])
+    code = F.ascii
+    is_letter, is_digit = lambda c: c.rlike("^[A-Za-z]"), lambda c: c.rlike("^[0-9]")
+    kind = lambda c: F.when(is_letter(c), 0).when(is_digit(c), 1).otherwise(2)
+    # Of each symbol: its kind, the place of its letter, whether it is a capital.
+    symbols = F.transform(
+        F.split(value, ""), lambda c: F.struct(kind(c).alias("kind"), (code(F.lower(c)) - 97).alias("place"), c.rlike("^[A-Z]").alias("capital"))
+    )
+
+    def step(before: Column, now: Column) -> Column:
+        last = F.when(before["kind"] == 0, before["place"]).otherwise(26)
+        letter = F.element_at(table_, (last * 26 + now["place"] + 1).cast("int"))
+        case = F.when(before["kind"] != 0, math.log(0.5)).when(before["capital"] == now["capital"], math.log(SAME_CASE)).otherwise(math.log(1 - SAME_CASE))
+        of = F.when(now["kind"] == 0, letter + case).when(now["kind"] == 1, math.log(1 / 10)).otherwise(math.log(1 / 4))
+        return F.element_at(follows, before["kind"] * 3 + now["kind"] + 1) + of
+
+    # What stands before a token is like a sign.
+    start = F.array(F.struct(F.lit(2).alias("kind"), F.lit(0).alias("place"), F.lit(False).alias("capital")))
+    return _sum(F.zip_with(F.concat(start, F.slice(symbols, F.lit(1), F.size(symbols) - 1)), symbols, step))
+
+
+def scored(tokens: DataFrame, pairs: list[float]) -> DataFrame:
+    """``tokens`` (an array column of spans) with the joint p value of the tests, the p value
+    under "ordinary", the bits and the class of lengths of each; tokens in no encoding go. The
+    tests are written step by step, so that each value is worked out once."""
 
     def step(df: DataFrame, fn) -> DataFrame:
         return df.withColumn("tokens", F.transform("tokens", fn))
@@ -183,6 +241,7 @@ def scored(tokens: DataFrame) -> DataFrame:
             n=F.length(t["value"]).cast("double"),
             k=F.length(t["symbols"]).cast("double"),
             codes=F.transform(F.split(t["value"], ""), lambda c: F.position(c, t["symbols"]).cast("double") - 1),
+            ordinary=ordinary(t["value"], pairs),
         ),
     )
     df = step(
@@ -192,6 +251,7 @@ def scored(tokens: DataFrame) -> DataFrame:
             n=t["n"],
             k=t["k"],
             codes=t["codes"],
+            ordinary=t["ordinary"],
             mean=_sum(t["codes"]) / t["n"],
             low=F.size(F.filter(t["codes"], lambda c: c < t["k"] / 2)).cast("double"),
             runs=1 + _sum(_pairs(t["codes"], lambda a, b: ((a < t["k"] / 2) != (b < t["k"] / 2)).cast("double"))),
@@ -213,7 +273,9 @@ def scored(tokens: DataFrame) -> DataFrame:
         power = _sum(F.transform(t["codes"], lambda c: (c - mean) * (c - mean)))
         lagged = _sum(_pairs(t["codes"], lambda a, b: (a - mean) * (b - mean)))
         z_serial = F.when(power > 0, F.abs(lagged / power) * F.sqrt(n)).otherwise(9.0)
-        return keep(t, n=n, k=k, z_chi=z_chi, z_runs=z_runs, z_serial=z_serial)
+        # Uniform against ordinary; ordinary tokens reach e^x in one of e^x cases at most.
+        p_ordinary = F.exp(F.least(F.lit(0.0), t["ordinary"] + n * F.log(k)))
+        return keep(t, n=n, k=k, z_chi=z_chi, z_runs=z_runs, z_serial=z_serial, p_ordinary=p_ordinary)
 
     df = step(df, statistics)
 
@@ -222,7 +284,7 @@ def scored(tokens: DataFrame) -> DataFrame:
         two = lambda z: F.least(F.lit(1.0), 2 * upper_tail(z))
         half = -(F.log(upper_tail(t["z_chi"])) + F.log(two(t["z_runs"])) + F.log(two(t["z_serial"])))
         p = F.exp(-half) * (1 + half + half * half / 2)  # upper tail of chi-squared, six degrees of freedom
-        return keep(t, p=p, bits=t["n"] * F.log2(t["k"]), stratum=F.floor(F.log2(t["n"])).cast("int"))
+        return keep(t, p=p, p_ordinary=t["p_ordinary"], bits=t["n"] * F.log2(t["k"]), stratum=F.floor(F.log2(t["n"])).cast("int"))
 
     return step(df, joint)
 
@@ -232,11 +294,11 @@ def p_bin(p: Column) -> Column:
     return F.least(F.ceil(-20 * F.log10(F.greatest(p, F.lit(1e-30)))), F.lit(600)).cast("int")
 
 
-def refusal_levels(scores: DataFrame) -> dict[int, int]:
-    """Per class of lengths, the least bin that the Benjamini-Hochberg rule refuses.
+def discovery_levels(scores: DataFrame) -> dict[int, int]:
+    """Per class of lengths, the least bin that the Benjamini-Hochberg rule takes as discovered.
 
     The table of counts has a few thousand rows at most, however many candidates there are."""
-    flat = scores.select(F.explode("tokens").alias("t")).select(F.col("t.stratum").alias("stratum"), p_bin(F.col("t.p")).alias("bin"))
+    flat = scores.select(F.explode("tokens").alias("t")).select(F.col("t.stratum").alias("stratum"), p_bin(F.col("t.p_ordinary")).alias("bin"))
     bins = flat.groupBy("stratum", "bin").agg(F.count("*").alias("tokens"))
     by_p = Window.partitionBy("stratum").orderBy(F.desc("bin"))
     ranked = bins.withColumns(
@@ -245,8 +307,8 @@ def refusal_levels(scores: DataFrame) -> dict[int, int]:
             "all": F.sum("tokens").over(Window.partitionBy("stratum")),
         }
     )
-    refused = F.pow(F.lit(10.0), -(F.col("bin") - 1) / 20.0) <= FALSE_DISCOVERIES * F.col("rank") / F.col("all")
-    levels = ranked.where(refused).groupBy("stratum").agg(F.min("bin").alias("least"))
+    discovered = F.pow(F.lit(10.0), -(F.col("bin") - 1) / 20.0) <= FALSE_DISCOVERIES * F.col("rank") / F.col("all")
+    levels = ranked.where(discovered).groupBy("stratum").agg(F.min("bin").alias("least"))
     return {r["stratum"]: r["least"] for r in levels.collect()}
 
 
@@ -254,20 +316,20 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans; one row per row of ``docs``.
 
     The texts are scanned once. What is found in them, not the texts, is stored, because the
-    level of refusal needs all candidates before the first can be judged."""
+    level of discovery needs all candidates before the first can be judged."""
     found = all_spans(docs)
     base = F.concat(*PATTERNS)
     free = F.filter("tokens", lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     plain = lambda of: F.transform(of, lambda s: F.struct(s["start"], s["kind"], s["end"]))
     found = found.select("doc_id", *[plain(k).alias(k) for k in PATTERNS], free.alias("tokens"))
-    found = store(scored(found), "secrets")
-    levels = refusal_levels(found)
+    found = store(scored(found, letter_pairs(docs)), "secrets")
+    levels = discovery_levels(found)
     never = 601
     level_of = F.create_map(*[F.lit(x) for pair in levels.items() for x in pair]) if levels else None
 
     def stays(t: Column) -> Column:
         least = F.coalesce(F.element_at(level_of, t["stratum"]), F.lit(never)) if levels else F.lit(never)
-        return (t["bits"] >= MIN_BITS) & (p_bin(t["p"]) < least)
+        return (t["bits"] >= MIN_BITS) & (t["p"] >= BATTERY_LEVEL) & (p_bin(t["p_ordinary"]) >= least)
 
     found = found.withColumn("tokens", plain(F.filter("tokens", stays)))
     within = lambda t, s: (s["start"] <= t["start"]) & (t["end"] <= s["end"]) & (t["end"] - t["start"] < s["end"] - s["start"])

@@ -120,6 +120,8 @@ def test_secrets_in_longer_tokens(spark):
         ("cred=", keys[0] + "==", ""),
         ("", "", "xxxxyyyyxxxxyyyyxxxxyyyyxxxxyyyy x=abababababababababababab a/b-cdcdcdcdcdcdcdcdcdcdcdcdcdcd-e/f"),
     ]
+    # Prose, from which the scan learns how letters follow each other in ordinary words.
+    rows.append(("", "", "the station and the other relations are in the interest of all those who read on " * 50))
     docs = spark.createDataFrame([(i, "".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: (r.spans, r.n_random) for r in secrets.find_secrets(docs).collect()}
     for i, (lead, value, _) in enumerate(rows):
@@ -502,3 +504,28 @@ def test_many_repeated_lines(spark):
     row = line_dedup.dedup_lines(docs).first()
     assert (row["_n_lines"], row["_n_removed"]) == (60_000, 59_500)
     assert row["_row"]["text"] == "\n".join(text.split("\n")[:500])
+
+
+def test_identifiers_are_not_secrets(spark, docs):
+    """Among what is reported, ordinary names are at most the stated share, and drawn keys are found."""
+    import keyword
+    import sys
+
+    rng = np.random.default_rng(12)
+    words = sorted({w for m in sys.stdlib_module_names for w in re.findall("[a-z]{4,}", m)} | set(keyword.kwlist))
+    join = [lambda w: "".join(x.title() for x in w), "_".join, lambda w: "_".join(w).upper(), lambda w: w[0] + "".join(x.title() for x in w[1:]), "-".join, "".join]
+    names = set()
+    while len(names) < 600:
+        name = join[len(names) % len(join)]([str(x) for x in rng.choice(words, rng.integers(3, 6))])
+        if len(name) >= 20:
+            names.add(name)
+    symbols = {"base62": secrets.ALPHABETS["base62"], "base64_url": secrets.ALPHABETS["base64_url"], "base36": secrets.ALPHABETS["base36"], "base32": secrets.ALPHABETS["base32"]}
+    keys = ["".join(rng.choice(list(s), n)) for s in symbols.values() for n in (24, 32, 40) for _ in range(25)]
+    # Each in a text of its own, with prose that tells how letters follow each other.
+    rows = [(i, t) for i, t in enumerate([*sorted(names), *keys])]
+    prose = " ".join([*words, *(w for m in sys.stdlib_module_names for w in re.findall("[a-z]+", m))] * 20)
+    df = spark.createDataFrame([*rows, (-1, prose)], "doc_id long, text string")
+    found = {r.doc_id for r in secrets.find_secrets(df).collect() if r.n_random}
+    false, true = sum(i < len(names) for i in found), sum(i >= len(names) for i in found)
+    assert false <= 0.05 * (false + true), (false, true)
+    assert true >= 0.9 * len(keys), (false, true)
