@@ -1,3 +1,4 @@
+import os
 import re
 
 import pytest
@@ -58,21 +59,23 @@ def test_copy_without_comments(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.text(str(tmp_path / "out")).collect()) == [" 2", "1"]
 
 
-def test_journal_ends_at_the_first_empty_partition(spark, tmp_path):
+def test_journal_ends_at_the_first_empty_partition(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(journal, "FOLDER_PARTITIONS", 2)
     numbers = [n for n in range(50) if not 20 <= n < 30 and n != 13]
     rows = [("p", n, f"e{n}") for n in numbers] + [("q", n, "x") for n in range(5)]
     path = str(tmp_path / "journal")
     journal.write_journal(spark.createDataFrame(rows, "persistence_id string, sequence_nr long, event string"), path, 10)
-    read = lambda offset, who: sorted(
-        r["sequence_nr"] for r in journal.read_journal(spark, path, offset, 10, who).collect()
-    )
+    read = lambda offset, who: [r["sequence_nr"] for r in journal.read_journal(spark, path, offset, 10, who).collect()]
     assert read(0, "p") == [n for n in range(20) if n != 13]
     assert read(12, "p") == [12, 14, 15, 16, 17, 18, 19]
     assert read(33, "p") == list(range(33, 50))
     assert read(25, "p") == []
     assert read(0, "q") == [0, 1, 2, 3, 4]
     plan = journal.read_journal(spark, path, 33, 10, "p")._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*partition_nr#\d+ >= 3", plan)
+    assert re.search(r"PartitionFilters: \[[^\]]*folder#\d+ >= 1", plan)
+    assert sorted(f for f in os.listdir(path) if f.startswith("folder")) == ["folder=0", "folder=1", "folder=2"]
+    both = [(r["persistence_id"], r["sequence_nr"]) for r in journal.read_journal(spark, path, 0, 10).collect()]
+    assert both == sorted(both) and len(both) == 24
     assert re.search(r"persistence_id#\d+ = p\)", plan)
 
 
