@@ -459,3 +459,29 @@ def keep_one(docs: DataFrame, rule: Rule = STRICT) -> DataFrame:
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup(table(spark, folder, "documents"), STRICT)
+
+
+def sql() -> str:
+    """The same components in DuckDB, from all pairs of texts that share a shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(len(w) - 2), lambda i: array_to_string(w[i + 1 : i + 3], ' ')) END) AS s
+            FROM words
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles AS a JOIN shingles AS b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reached AS r JOIN edges AS e ON r.other = e.a
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """

@@ -35,4 +35,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op11_vector_codes": vector_codes.sql(),
     "op12_spelling_variants": spelling.sql(),
+    "op8_near_dedup": near_dedup.sql(),
 }
