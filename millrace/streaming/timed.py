@@ -35,7 +35,7 @@ AT = "_at"
 
 class StepRule:
     """``step(state, *inputs) -> (state, outputs)`` on each row, which goes on with the outputs
-    at once. ``keep`` names a boolean output: only rows where it is true go on, without it."""
+    at once; the state is kept as JSON. ``keep`` names a boolean output: only rows where it is true go on, without it."""
 
     queued = False
 
