@@ -66,8 +66,10 @@ def repeated_lines(docs: DataFrame, min_chars: int) -> DataFrame:
         keyed(docs).select(*KEY, F.coalesce("text", F.lit("")).alias("text"), F.lit(min_chars).alias("least")),
         LINES,
         _codes,
-    ).dropDuplicates([*KEY, "at"])
-    lines = store(lines, "lines")
+    )
+    # Rows of one document stored several times agree in all columns; as keys alone, without values
+    # to keep beside them, they are dropped by hash and not by sorting.
+    lines = store(lines.distinct(), "lines")
     # Longest least run of all lines: how far doubling has to go.
     longest = lines.agg(F.greatest(F.max("ahead"), F.max("back"))).first()[0] or 0
     runs = (
