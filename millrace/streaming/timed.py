@@ -1,8 +1,8 @@
 """Stream operators in event time: rows wait until the watermark has passed them and are then
 judged in order; groups close by timers.
 
-A row is kept in the state of its key, by the millisecond of its time, and a timer of that
-millisecond hands it to the rule once no earlier row can come: so a row that arrives in a later
+A row is kept in the state of its key's bucket, and a timer of the earliest one's millisecond hands
+those to the rule that no earlier row can precede any more: so a row that arrives in a later
 micro-batch than its successors gets the same answer as in a table, as long as it is not later
 than the delay of the watermark (Spark drops it beyond). Rules that gather groups name a deadline,
 after which the group is closed by a timer although no further row of the key has come.
@@ -16,12 +16,14 @@ state, and the rows of one open group (bounded by ``max_size``).
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ListState, StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators import stateful as rules
 from millrace.session import hadoop_path
@@ -31,16 +33,21 @@ Names = str | Sequence[str]
 
 # Event time in microseconds, the last column of the rows that processors see.
 AT = "_at"
+# Keys share the state of a bucket, which is read and written whole; a stream keeps their number.
+BUCKET, BUCKETS_CONF, BUCKETS = "_bucket", "spark.millrace.streamBuckets", 2048
+# Rows in one piece of the state, which goes there in one message.
+MOST_ROWS = 10_000
 
 
 class StepRule:
     """``step(state, *inputs) -> (state, outputs)`` on each row, which goes on with the outputs
-    at once; the state is kept as JSON. ``keep`` names a boolean output: only rows where it is true go on, without it."""
+    at once. ``keep`` names a boolean output: only rows where it is true go on, without it."""
 
     queued = False
 
     def __init__(self, inputs: Sequence[str], init: tuple, step: Callable, outputs: Sequence[tuple[str, T.DataType]], keep: str | None = None):
         self.inputs, self.init, self.step, self.outputs = list(inputs), init, step, list(outputs)
+        self.reads = set(inputs)
         self.kept = None if keep is None else [n for n, _ in outputs].index(keep)
 
     def bind(self, schema: T.StructType, key: list[str]) -> T.StructType:
@@ -75,7 +82,7 @@ class GroupRule:
             raise ValueError(f"keep is oldest, newest or fail, not {keep}")
         self.starts, self.ends, self.out, self.prop = starts, ends, out, prop
         self.max_size, self.keep, self.summary = max_size, keep, None if summary is None else list(summary)
-        self.queued = True
+        self.queued, self.reads = True, {prop}
 
     def bind(self, schema: T.StructType, key: list[str]) -> T.StructType:
         names = schema.fieldNames()
@@ -120,78 +127,138 @@ class GroupRule:
         return {**group, "n": 0}, out
 
 
+# What lists in the state hold and processors put out: many rows in one piece.
+PIECE = T.StructType([T.StructField("rows", T.BinaryType())])
+
+
+def _pieces(rows: Iterable[tuple]) -> Iterator[tuple[bytes]]:
+    rows = iter(rows)
+    while part := list(islice(rows, MOST_ROWS)):
+        yield (pickle.dumps(part),)
+
+
+def _unpacked(pieces: Iterable[tuple[bytes]]) -> Iterator[tuple]:
+    for (piece,) in pieces:
+        yield from pickle.loads(piece)
+
+
+def _replace(held: ListState, rows: Iterable[tuple]) -> None:
+    pieces = _pieces(rows)
+    if (first := next(pieces, None)) is None:
+        held.clear()
+        return
+    held.put([first])
+    for piece in pieces:
+        held.appendList([piece])
+
+
+def _name_of(places: list[int]) -> Callable:
+    """A row's key as one text: NaN is equal to itself, and 0.0 to -0.0."""
+    return lambda row: json.dumps([v + 0.0 if isinstance(v, float) else v for v in (row[p] for p in places)], default=str)
+
+
 def _sort_key(places: list[int]) -> Callable:
     """Nulls first, as in a table."""
     return lambda row: [(row[p] is not None, row[p]) for p in places]
 
 
+class Judge:
+    """A rule on the rows of many keys; ``held`` has the state and the queue of each."""
+
+    def __init__(self, rule, keys: list[int], order: list[int]):
+        self.rule, self.name, self.order = rule, _name_of(keys), _sort_key(order)
+
+    def judge(self, held: dict[str, tuple], rows: Iterable[tuple], passed: int | None) -> Iterator[tuple]:
+        """What ``rows`` and groups that are over at ``passed`` put out."""
+        rule, by_key = self.rule, {}
+        for row in rows:
+            by_key.setdefault(self.name(row), []).append(row)
+        for name, new in by_key.items():
+            state, queue = held.get(name, (None, []))
+            for row in sorted(new, key=self.order):
+                state, emitted = rule.row(state, queue, row[:-1], row[-1])
+                yield from emitted
+            held[name] = state, queue
+        if passed is not None:
+            for name, (state, queue) in held.items():
+                ends = rule.deadline(state)
+                if ends is not None and ends // 1000 < passed:
+                    state, emitted = rule.close(state, queue)
+                    held[name] = state, queue
+                    yield from emitted
+
+
 class TimedProcessor(StatefulProcessor):
-    def __init__(self, rule, schema: T.StructType, out: T.StructType, places: list[int]):
-        self.rule, self.schema, self.names, self.order = rule, schema, out.names, _sort_key(places)
+    """Spark's key is a bucket of keys, and a micro-batch costs a bucket a fixed number of calls to
+    the state, however many rows and keys it has: all rows that wait are one list, the states of
+    all keys another, and one timer stands for the earliest of the rows and of the deadlines."""
+
+    def __init__(self, judge: Judge, at: int | None):
+        self.judge, self.at = judge, at
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.passed, self.judged = handle, None, set()
-        self.state = handle.getValueState("state", T.StructType([T.StructField("json", T.StringType())]))
-        self.waiting = handle.getMapState(
-            "waiting", T.StructType([T.StructField("ms", T.LongType())]), T.StructType([T.StructField("rows", T.ArrayType(self.schema))])
-        )
-        self.queue = handle.getListState("queue", self.schema)
+        self.handle = handle
+        self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
+        self.waiting = handle.getListState("waiting", PIECE)
+        self.held = handle.getListState("held", PIECE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        coming: dict[int | None, list[tuple]] = {}
-        for row in rows:
-            row = tuple(row)
-            coming.setdefault(None if row[-1] is None else row[-1] // 1000, []).append(row)
-        for ms, new in coming.items():
-            if ms is None:
-                continue
-            held = self.waiting.getValue((ms,))
-            if held is None:
-                self.handle.registerTimer(ms + 1)
-            self.waiting.updateValue((ms,), ([*([tuple(r) for r in held[0]] if held else []), *new],))
-        if None in coming:
-            yield from self._judge(coming[None], None)
+        first, untimed = None, []
+
+        def timed() -> Iterator[tuple]:
+            nonlocal first
+            for row in rows:
+                row = tuple(row)[:-1]
+                if self.at is not None:
+                    row = (*row[: self.at], row[-1], *row[self.at + 1 :])
+                if row[-1] is None:
+                    untimed.append(row)
+                else:
+                    first = row[-1] if first is None else min(first, row[-1])
+                    yield row
+
+        for piece in _pieces(timed()):
+            self.waiting.appendList([piece])
+        out, times = [], [] if first is None else [first]
+        if untimed:
+            held = dict(_unpacked(self.held.get()))
+            out = list(_pieces(self.judge.judge(held, untimed, None)))
+            times += self._hold(held)
+        self._register(times, self.timer.get())
+        return map(Row(*PIECE.names), *zip(*out)) if out else iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """The first timer of a key in a micro-batch judges all that the watermark has passed, so
-        that rows, and a group that they open and that is over too, go on together."""
+        """Judges all that the watermark has passed, so that rows, and a group that they open and
+        that is over too, go on together."""
         passed = timerValues.getCurrentWatermarkInMs()
-        if passed != self.passed:
-            self.passed, self.judged = passed, set()
-        if key in self.judged:
-            return
-        self.judged.add(key)
-        rows: list[tuple] = []
-        for ms in sorted(k[0] for k in self.waiting.keys()):
-            if ms < passed:
-                rows += [tuple(r) for r in self.waiting.getValue((ms,))[0]]
-                self.waiting.removeKey((ms,))
-        yield from self._judge(rows, passed)
-
-    def _judge(self, rows: list[tuple], passed: int | None) -> Iterable[Row]:
-        held = self.state.get()
-        state = None if held is None else json.loads(held[0])
-        queue = [tuple(r)[:-1] for r in self.queue.get()] if self.rule.queued and self.queue.exists() else []
-        before, until = len(queue), self.rule.deadline(state)
-        out: list[tuple] = []
-        for row in sorted(rows, key=self.order):
-            state, emitted = self.rule.row(state, queue, row[:-1], row[-1])
-            out += emitted
-        ends = self.rule.deadline(state)
-        if passed is not None and ends is not None and ends // 1000 < passed:
-            state, emitted = self.rule.close(state, queue)
-            out += emitted
-        elif ends is not None and ends != until:
-            # A timer that a later row has overtaken finds nothing to close.
-            self.handle.registerTimer(ends // 1000 + 1)
-        if rows or out:
-            self.state.update((json.dumps(state),))
-            if self.rule.queued and queue:
-                self.queue.put([(*r, None) for r in queue])
-            elif before:
-                self.queue.clear()
-        make = Row(*self.names)
-        return [make(*row) for row in out]
+        timer = self.timer.get()
+        if timer is None or timer[0] != expiredTimerInfo.getExpiryTimeInMs():
+            # An earlier one has taken its place.
+            return iter(())
+        ready, left = [], []
+        for row in _unpacked(self.waiting.get()):
+            (ready if row[-1] // 1000 < passed else left).append(row)
+        if ready:
+            _replace(self.waiting, left)
+        held = dict(_unpacked(self.held.get()))
+        out = list(_pieces(self.judge.judge(held, ready, passed)))
+        times = [r[-1] for r in left] + self._hold(held)
+        if not times:
+            self.timer.clear()
+        self._register(times, None)
+        return map(Row(*PIECE.names), *zip(*out)) if out else iter(())
+
+    def _hold(self, held: dict[str, tuple]) -> list[int]:
+        """Keeps the states; the times after which open groups are over."""
+        _replace(self.held, held.items())
+        return [ends for state, _ in held.values() if (ends := self.judge.rule.deadline(state)) is not None]
+
+    def _register(self, times: list[int], timer: tuple | None) -> None:
+        """The timer of the earliest of ``times``, in microseconds, unless one comes before it."""
+        due = min(times) // 1000 + 1 if times else None
+        if due is not None and (timer is None or due < timer[0]):
+            self.handle.registerTimer(due)
+            self.timer.update((due,))
 
     def close(self) -> None:
         pass
@@ -205,45 +272,51 @@ class Timed:
         self.rule, self.at, self.order_by = rule, at, list(order_by)
         self.key = [key] if isinstance(key, str) else list(key)
 
-    def _bind(self, schema: T.StructType) -> tuple[T.StructType, T.StructType, list[int]]:
-        inner = T.StructType([*schema.fields, T.StructField(AT, T.LongType())])
-        return inner, self.rule.bind(schema, self.key), [schema.fieldNames().index(c) for c in self.order_by]
+    def _bind(self, schema: T.StructType) -> tuple[Judge, T.StructType, int | None]:
+        """What judges, what it puts out, and the place of event time if the state has it there as
+        a number, which it has unless the rule reads it."""
+        names, at = schema.fieldNames(), None
+        if self.at not in self.rule.reads:
+            at = names.index(self.at)
+            schema = T.StructType([T.StructField(f.name, T.LongType()) if i == at else f for i, f in enumerate(schema.fields)])
+        out = self.rule.bind(schema, self.key)
+        return Judge(self.rule, [names.index(c) for c in self.key], [names.index(c) for c in self.order_by]), out, at
+
+    def _unpack(self, pieces: DataFrame, unpack: Callable, out: T.StructType, at: int | None) -> DataFrame:
+        rows = pieces.select(F.inline(F.udf(unpack, T.ArrayType(out))(*pieces.columns)))
+        return rows if at is None or self.at not in out.names else rows.withColumn(self.at, F.timestamp_micros(self.at))
 
     def apply(self, stream: DataFrame) -> DataFrame:
-        use_rocksdb(stream.sparkSession)
-        inner, out, places = self._bind(stream.schema)
-        keyed = stream.withColumn(AT, F.unix_micros(self.at)).groupBy(*self.key)
-        return keyed.transformWithState(
-            statefulProcessor=TimedProcessor(self.rule, inner, out, places), outputStructType=out, outputMode="Append", timeMode="EventTime"
-        )
+        spark = stream.sparkSession
+        use_rocksdb(spark)
+        judge, out, at = self._bind(stream.schema)
+        buckets = int(spark.conf.get(BUCKETS_CONF, str(BUCKETS)))
+        keyed = stream.withColumns({AT: F.unix_micros(self.at), BUCKET: F.pmod(F.xxhash64(*self.key), F.lit(buckets))}).groupBy(BUCKET)
+        pieces = keyed.transformWithState(statefulProcessor=TimedProcessor(judge, at), outputStructType=PIECE, outputMode="Append", timeMode="EventTime")
+        return self._unpack(pieces, lambda rows: pickle.loads(rows), out, at)
 
     def rest(self, spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
         """What waits or is open in the state at ``checkpoint``, judged to the end; ``schema`` is
-        that of the stream. Bounded for each key like its state."""
-        inner, out, places = self._bind(schema)
+        that of the stream. Bounded for each bucket of keys like its state."""
+        judge, out, at = self._bind(schema)
         path, fs = hadoop_path(spark, f"{checkpoint}/commits")
-        if not fs.exists(path):
-            return spark.createDataFrame([], out)
-        rule, order = self.rule, _sort_key(places)
 
         def read(name: str) -> DataFrame:
-            return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+            state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+            return state.select("key", *[(F.col("list_element.rows") if name == n else F.lit(None).cast("binary")).alias(n) for n in ("held", "waiting")])
 
-        def ended(held: str | None, rows: list, queue: list) -> list[tuple]:
-            state, result = None if held is None else json.loads(held), []
-            queue = sorted((tuple(r)[:-1] for r in queue), key=order)
-            for row in sorted(map(tuple, rows), key=order):
-                state, emitted = rule.row(state, queue, row[:-1], row[-1])
-                result += emitted
-            return result + rule.close(state, queue)[1]
-
-        none = lambda kind: F.lit(None).cast(kind)
-        rows_type, queue_type = T.ArrayType(inner), inner
-        parts = read("state").select("key", F.col("value.json").alias("held"), none(rows_type).alias("rows"), none(queue_type).alias("queue"))
-        parts = parts.unionAll(read("waiting").select("key", none("string"), F.col("user_map_value.rows").cast(rows_type), none(queue_type)))
-        parts = parts.unionAll(read("queue").select("key", none("string"), none(rows_type), F.col("list_element").cast(queue_type)))
-        by_key = parts.groupBy("key").agg(F.max("held").alias("held"), F.flatten(F.collect_list("rows")).alias("rows"), F.collect_list("queue").alias("queue"))
-        return by_key.select(F.inline(F.udf(ended, T.ArrayType(out))("held", "rows", "queue")))
+        def ended(held: list, waiting: list) -> list[tuple]:
+            states = dict(_unpacked((p,) for p in held))
+            result = list(judge.judge(states, _unpacked((p,) for p in waiting), None))
+            for state, queue in states.values():
+                result += judge.rule.close(state, queue)[1]
+            return result
+
+        if not fs.exists(path):
+            pieces = spark.createDataFrame([], "held array<binary>, waiting array<binary>")
+        else:
+            pieces = read("held").unionAll(read("waiting")).groupBy("key").agg(F.collect_list("held").alias("held"), F.collect_list("waiting").alias("waiting")).drop("key")
+        return self._unpack(pieces, ended, out, at)
 
 
 def in_order(at: str, key: Names, order_by: Sequence[str], inputs, init: tuple, step: Callable, outputs, keep: str | None = None) -> Timed:
