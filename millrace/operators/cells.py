@@ -2,7 +2,8 @@
 
 A square around all regions is cut in four again and again. A region is covered by cells of this
 tree: one that lies wholly inside needs no further test; one at the region's border is cut again
-until the region clipped to it has few edges, and then holds just these. Cells are numbered along
+until it is small beside the region and the region clipped to it has few edges, and then holds just
+these (those of the whole region, if they are few). Cells are numbered along
 a space-filling curve (the bits of column and row in turn), on which a cell is an interval, so
 points and cells meet by an equi-join on the interval's leading bits. Cells larger than these bits
 tell are listed under each of their parts, smaller ones under the part that holds them; the level
@@ -26,6 +27,9 @@ from millrace.session import store
 
 MAX_LEVEL = 20
 MAX_EDGES = 8
+# Cells at a region's border are at most a quarter of it wide: so a point meets few regions that
+# are not at its place, and cells that lie wholly inside end most lists.
+FINE = 4
 # How often the list of cells may grow by listing large ones under their parts.
 LISTING = 4
 
@@ -66,12 +70,14 @@ def cover(rings: list[Ring], x: float, y: float, size: float, max_level: int, ma
     (x, y)."""
     out = []
     open_cells = [(0, 0, x, y, size, rings)]
+    few = sum(len(r) - 1 for r in rings) <= max_edges
+    fine = max((max(p[axis] for p in r) - min(p[axis] for p in r) for r in rings for axis in (0, 1)), default=0.0) / FINE
     while open_cells:
         level, number, x0, y0, width, held = open_cells.pop()
         if is_whole(held, x0, y0, x0 + width, y0 + width):
             out.append((level, number, True, []))
-        elif level == max_level or sum(len(r) - 1 for r in held) <= max_edges:
-            out.append((level, number, False, held))
+        elif level == max_level or (width <= fine and sum(len(r) - 1 for r in held) <= max_edges):
+            out.append((level, number, False, rings if few else held))
         else:
             half = width / 2
             for column, left in ((0, True), (1, False)):
