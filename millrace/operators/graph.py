@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import store
+from millrace.session import spread, store
 
 # Steps outwards before shortcuts are made, and how many times the edges of the graph these may have.
 PLAIN_HOPS = 8
@@ -18,20 +18,21 @@ GROWTH = 4
 class Graph:
     vertices: DataFrame
     edges: DataFrame
+    # About how many edges at most, if that is known: shuffles then have parts in proportion.
+    most: int | None = None
 
     @classmethod
-    def build(cls, vertices: DataFrame, edges: DataFrame) -> Graph:
+    def build(cls, vertices: DataFrame, edges: DataFrame, most: int | None = None) -> Graph:
         """Edges with an unknown end are dropped."""
         ids = vertices.select("id")
-        known = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(
-            ids.withColumnRenamed("id", "dst"), "dst", "left_semi"
-        )
-        return cls(vertices, known.select(*edges.columns))
+        known = spread(edges, most, "src").join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
+        known = spread(known, most, "dst").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        return cls(vertices, known.select(*edges.columns), most)
 
     def stored(self) -> Graph:
         """The graph written to the shared folder: worth it before several queries, or one
         that uses its edges more than once, over a graph derived from other tables."""
-        return Graph(store(self.vertices, "vertices"), store(self.edges, "edges"))
+        return Graph(store(self.vertices, "vertices"), store(self.edges, "edges"), self.most)
 
     def select(self, predicate: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Vertices by predicate with their (incoming, outgoing) edges."""
@@ -46,6 +47,7 @@ class Graph:
         return Graph(
             self.vertices.where(F.col("id") != node),
             self.edges.where((F.col("src") != node) & (F.col("dst") != node)),
+            self.most,
         )
 
     def degrees(self) -> DataFrame:
@@ -64,7 +66,8 @@ class Graph:
             F.struct(F.col("src").alias("id"), F.col("dst").alias("neighbour")),
             F.struct(F.col("dst").alias("id"), F.col("src").alias("neighbour")),
         )
-        return self.edges.select(F.explode(both).alias("_p")).select("_p.*").distinct()
+        pairs = self.edges.select(F.explode(both).alias("_p")).select("_p.*")
+        return spread(pairs, self.most and 2 * self.most, "id", "neighbour").distinct()
 
     def neighbours_of(self, node: int | str) -> DataFrame:
         return self.neighbours().where(F.col("id") == node).select("neighbour")
@@ -80,7 +83,7 @@ class Graph:
         swapped = self.edges.select(
             F.col("dst").alias("src"), F.col("src").alias("dst"), *[c for c in self.edges.columns if c not in ("src", "dst")]
         )
-        return Graph(self.vertices, swapped)
+        return Graph(self.vertices, swapped, self.most)
 
     def adjacent(self, label: str, direction: str = "both") -> DataFrame:
         """``(id, adjacent)`` over edges with the label: ``out``, ``in`` or ``both``."""
@@ -103,13 +106,14 @@ class Graph:
         All sets are stored in the shared folder: plans stay small, a lost executor costs a step.
         """
         spark = self.edges.sparkSession
-        links = store(self.edges.select("src", "dst").distinct(), "links")
+        links = store(spread(self.edges.select("src", "dst"), self.most, "src", "dst").distinct(), "links")
+        counted = None if self.most is None else links.count()
         frontier = self.vertices.where(F.col("id") == start).select("id")
         visited = frontier = store(frontier, "visited")
         for _ in range(plain_hops):
             if frontier.isEmpty():
                 return visited.withColumnRenamed("id", out)
-            frontier = _step(links, frontier, visited)
+            frontier = _step(links, frontier, visited, counted)
             visited = visited.unionByName(frontier)
         visited = store(visited, "visited")
         levels = None
@@ -140,7 +144,7 @@ class Graph:
         return levels
 
 
-def _step(links: DataFrame, sources: DataFrame, visited: DataFrame) -> DataFrame:
+def _step(links: DataFrame, sources: DataFrame, visited: DataFrame, most: int | None = None) -> DataFrame:
     """What ``links`` lead to from ``sources`` that was not visited yet, stored."""
-    nearby = links.join(sources.withColumnRenamed("id", "src"), "src", "left_semi")
+    nearby = spread(links, most, "src").join(sources.withColumnRenamed("id", "src"), "src", "left_semi")
     return store(nearby.select(F.col("dst").alias("id")).distinct().join(visited, "id", "left_anti"), "frontier")

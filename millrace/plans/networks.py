@@ -9,6 +9,7 @@ from millrace.functions import geometry, udf
 from millrace.operators import aggs, geo, routing
 from millrace.operators.graph import Graph
 from millrace.plans.registry import query, table
+from millrace.session import spread
 from millrace.sources import readers, writers
 
 ORDER = ["ts", "event_id"]
@@ -120,11 +121,14 @@ def _graph(spark, sf):
         .unionByName(part.select((F.col("p_partkey") + _P).alias("id"), F.col("p_type").alias("label")))
     )
     lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", "l_partkey")
-    buys = orders.select("o_orderkey", "o_custkey").join(lines, "o_orderkey").select(
+    # Counted from the footers of the files.
+    n = max(orders.count(), lineitem.count())
+    buys = spread(orders.select("o_orderkey", "o_custkey"), n, "o_orderkey").join(spread(lines, n, "o_orderkey"), "o_orderkey").select(
         F.col("o_custkey").cast("long").alias("src"), (F.col("l_suppkey") + _S).alias("dst"), F.lit("buys").alias("label")
     )
     delivers = lines.select((F.col("l_suppkey") + _S).alias("src"), (F.col("l_partkey") + _P).alias("dst"), F.lit("delivers").alias("label"))
-    return Graph.build(vertices, buys.distinct().unionByName(delivers.distinct()))
+    edges = [spread(e, n, "src", "dst").distinct() for e in (buys, delivers)]
+    return Graph.build(vertices, edges[0].unionByName(edges[1]), 2 * n)
 
 
 @query("g01_build", f"{_GRAPH} SELECT src, dst, label FROM e")

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TASK_CONF = "spark.millrace.rowsPerTask"
 DEFAULT_ROWS_PER_TASK = 5_000_000
 
+# Rows of one part of a shuffle whose size is known beforehand.
+ROWS_PER_PART = 500_000
+
 # A side of a join may be broadcast when it was counted and has at most this many rows, and its
 # rows as text at most this many bytes.
 BROADCAST_ROWS_CONF = "spark.millrace.broadcastRows"
@@ -83,6 +86,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def spread(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:
+    """``df`` of about ``rows`` rows, shuffled by ``columns`` into parts of about
+    ``ROWS_PER_PART`` where Spark's own number of shuffle partitions would make larger ones."""
+    parts = -(-(rows or 0) // ROWS_PER_PART)
+    return df if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(parts, *columns)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the lineage."""
     path = scratch_path(df.sparkSession, label)
