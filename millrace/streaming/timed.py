@@ -19,8 +19,9 @@ import json
 import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
+from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ListState, StatefulProcessor, StatefulProcessorHandle
@@ -29,6 +30,10 @@ from millrace.operators import stateful as rules
 from millrace.session import hadoop_path
 from millrace.streaming.runs import use_rocksdb
 
+if TYPE_CHECKING:
+    import pandas as pd
+    import pyarrow as pa
+
 Names = str | Sequence[str]
 
 # Event time in microseconds, the last column of the rows that processors see.
@@ -37,6 +42,10 @@ AT = "_at"
 BUCKET, BUCKETS_CONF, BUCKETS = "_bucket", "spark.millrace.streamBuckets", 2048
 # Rows in one piece of the state, which goes there in one message.
 MOST_ROWS = 10_000
+# A row as bytes: cells reach a processor one by one, and a number or a time costs more there than all the rest.
+PACKED = "packed_row"
+# What pandas can hold; processors see no event time beyond.
+FIRST_TIME, LAST_TIME = "1678-01-01 00:00:00", "2262-01-01 00:00:00"
 
 
 class StepRule:
@@ -167,13 +176,27 @@ class Judge:
 
     def __init__(self, rule, keys: list[int], order: list[int]):
         self.rule, self.name, self.order = rule, _name_of(keys), _sort_key(order)
+        self.keys = keys
+
+    def _by_key(self, rows: Iterable[tuple]) -> dict[str, list[tuple]]:
+        """Rows by the name of their key, which is made once for each key that can be looked up."""
+        names: dict[tuple, str] = {}
+        found: dict[str, list[tuple]] = {}
+        for row in rows:
+            cells = tuple([row[p] for p in self.keys])
+            try:
+                name = names.get(cells)
+                if name is None:
+                    name = names[cells] = self.name(row)
+            except TypeError:  # a list or a struct
+                name = self.name(row)
+            found.setdefault(name, []).append(row)
+        return found
 
     def judge(self, held: dict[str, tuple], rows: Iterable[tuple], passed: int | None) -> Iterator[tuple]:
         """What ``rows`` and groups that are over at ``passed`` put out."""
-        rule, by_key = self.rule, {}
-        for row in rows:
-            by_key.setdefault(self.name(row), []).append(row)
-        for name, new in by_key.items():
+        rule = self.rule
+        for name, new in self._by_key(rows).items():
             state, queue = held.get(name, (None, []))
             for row in sorted(new, key=self.order):
                 state, emitted = rule.row(state, queue, row[:-1], row[-1])
@@ -203,14 +226,23 @@ class TimedProcessor(StatefulProcessor):
         self.held = handle.getListState("held", PIECE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        def placed() -> Iterator[tuple]:
+            for row in rows:
+                row = tuple(row)[:-1]
+                yield row if self.at is None else (*row[: self.at], row[-1], *row[self.at + 1 :])
+
+        return self._out(self._take(placed()))
+
+    def _out(self, pieces: list[tuple[bytes]]) -> Iterator[Row]:
+        return map(Row(*PIECE.names), *zip(*pieces)) if pieces else iter(())
+
+    def _take(self, rows: Iterable[tuple]) -> list[tuple[bytes]]:
+        """Keeps rows until they can be judged; what those without a time put out."""
         first, untimed = None, []
 
         def timed() -> Iterator[tuple]:
             nonlocal first
             for row in rows:
-                row = tuple(row)[:-1]
-                if self.at is not None:
-                    row = (*row[: self.at], row[-1], *row[self.at + 1 :])
                 if row[-1] is None:
                     untimed.append(row)
                 else:
@@ -225,7 +257,7 @@ class TimedProcessor(StatefulProcessor):
             out = list(_pieces(self.judge.judge(held, untimed, None)))
             times += self._hold(held)
         self._register(times, self.timer.get())
-        return map(Row(*PIECE.names), *zip(*out)) if out else iter(())
+        return out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Judges all that the watermark has passed, so that rows, and a group that they open and
@@ -246,7 +278,7 @@ class TimedProcessor(StatefulProcessor):
         if not times:
             self.timer.clear()
         self._register(times, None)
-        return map(Row(*PIECE.names), *zip(*out)) if out else iter(())
+        return self._out(out)
 
     def _hold(self, held: dict[str, tuple]) -> list[int]:
         """Keeps the states; the times after which open groups are over."""
@@ -264,6 +296,34 @@ class TimedProcessor(StatefulProcessor):
         pass
 
 
+class PackedProcessor(TimedProcessor):
+    """The same on rows that ``Timed.packed`` has made, which come and go in frames."""
+
+    def handleInputRows(self, key, frames, timerValues) -> Iterator[pd.DataFrame]:
+        return self._out(self._take(pickle.loads(row) for frame in frames for row in frame[PACKED]))
+
+    def _out(self, pieces: list[tuple[bytes]]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
+        return iter([pd.DataFrame(pieces, columns=PIECE.names)] if pieces else [])
+
+
+def _packer(columns: list[str]) -> Column:
+    """Each row's cells as bytes."""
+
+    def pack(cells: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        import pyarrow as pa
+
+        for batch in cells:
+            yield pa.array([pickle.dumps(row) for row in zip(*(c.to_pylist() for c in batch))], pa.binary())
+
+    # Hints that are not texts, which this function's would be here, choose the kind of the function.
+    import pyarrow as pa
+
+    pack.__annotations__ = {"cells": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(pack, T.BinaryType())(*columns)
+
+
 class Timed:
     """A rule on a stream: ``apply`` it, and read with ``rest`` what the end of input has left.
     ``at`` is the event time, with a watermark; ``order_by`` orders rows, beginning with it."""
@@ -286,13 +346,25 @@ class Timed:
         rows = pieces.select(F.inline(F.udf(unpack, T.ArrayType(out))(*pieces.columns)))
         return rows if at is None or self.at not in out.names else rows.withColumn(self.at, F.timestamp_micros(self.at))
 
-    def apply(self, stream: DataFrame) -> DataFrame:
+    def packed(self, stream: DataFrame, at: int | None) -> DataFrame:
+        """Event time, bucket and the row as bytes, with event time as a number at its end, and at place ``at``.
+        Spark drops late rows by the first, which is null (and so never late) beyond what pandas can hold. Rows are
+        dealt before they are packed: a stream's files may be few."""
         spark = stream.sparkSession
-        use_rocksdb(spark)
-        judge, out, at = self._bind(stream.schema)
         buckets = int(spark.conf.get(BUCKETS_CONF, str(BUCKETS)))
-        keyed = stream.withColumns({AT: F.unix_micros(self.at), BUCKET: F.pmod(F.xxhash64(*self.key), F.lit(buckets))}).groupBy(BUCKET)
-        pieces = keyed.transformWithState(statefulProcessor=TimedProcessor(judge, at), outputStructType=PIECE, outputMode="Append", timeMode="EventTime")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = stream.withColumns({AT: F.unix_micros(self.at), BUCKET: F.pmod(F.xxhash64(*self.key), F.lit(buckets))}).repartition(parts, BUCKET)
+        cells = [AT if i == at else c for i, c in enumerate(stream.columns)]
+        held = F.col(self.at).between(F.lit(FIRST_TIME).cast("timestamp"), F.lit(LAST_TIME).cast("timestamp"))
+        # The metadata has the delay of the watermark.
+        time = F.when(held, F.col(self.at)).alias(self.at, metadata=stream.schema[self.at].metadata)
+        return dealt.select(time, BUCKET, _packer([*cells, AT]).alias(PACKED))
+
+    def apply(self, stream: DataFrame) -> DataFrame:
+        use_rocksdb(stream.sparkSession)
+        judge, out, at = self._bind(stream.schema)
+        keyed = self.packed(stream, at).groupBy(BUCKET)
+        pieces = keyed.transformWithStateInPandas(statefulProcessor=PackedProcessor(judge, None), outputStructType=PIECE, outputMode="Append", timeMode="EventTime")
         return self._unpack(pieces, lambda rows: pickle.loads(rows), out, at)
 
     def rest(self, spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
