@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,8 @@ LENGTH = 200
 PART = 64
 STRETCH = 512
 SHARD_STRETCHES = 2048
-SHARD_BYTES = 2_000_000
+# The arrays that sort a shard take some 50 times its bytes, and should stay in a processor's cache.
+SHARD_BYTES = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -157,23 +158,28 @@ def in_shard(contents: list[bytes]) -> list[list[tuple[int, int]]]:
     return [runs(hit[a : a + n - LENGTH + 1]) for a, n in zip(firsts.tolist(), sizes.tolist())]
 
 
+def shards(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows (mark, bytes, data), in order of mark, in shards: whole marks, one more only below ``SHARD_BYTES``."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        if size >= SHARD_BYTES and row[0] != held[-1][0]:
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += len(row[2])
+    if held:
+        yield held
+
+
 def copies_in_shards(found: DataFrame) -> DataFrame:
     """mark, bytes and runs of windows with a copy, by suffix arrays over whole marks."""
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.select("mark", "bytes", "data").repartition(parts, "mark").sortWithinPartitions("mark")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= SHARD_BYTES and row[0] != held[-1][0]:
-                    yield judged(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-        if held:
-            yield judged(held)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        return map(judged, shards(rows))
 
     def judged(held: list[tuple]) -> pa.RecordBatch:
         hits = [(m, b, r) for (m, b, _), r in zip(held, in_shard([h[2] for h in held])) if r]
