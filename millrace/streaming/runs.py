@@ -7,7 +7,8 @@ the same checkpoint and continues where it was.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.timewindows import batches
 from millrace.ordered import Ordered
-from millrace.session import hadoop_path, scratch_path, store
+from millrace.session import ROWS_PER_PART, hadoop_path, scratch_path, store
 from millrace.sources.writers import show, write_batch
 
+# Keys share the state of a bucket (see ``millrace.streaming.timed``); a stream keeps their number.
+BUCKETS_CONF, BUCKETS_PER_PART = "spark.millrace.streamBuckets", 32
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -166,17 +169,43 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(progress_rows(query), PROGRESS)
 
 
+def state_parts(spark: SparkSession, rows: int) -> int:
+    """Parts for the state of a stream with so many ``rows`` in a micro-batch: as many as tasks run at once, or more by
+    the rows. Each micro-batch opens and commits every part, however few its rows."""
+    at_once = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(at_once, -(-rows // ROWS_PER_PART))
+
+
+@contextmanager
+def sized_state(spark: SparkSession, parts: int) -> Iterator[None]:
+    """The state of streams that first start here has so many parts, and buckets in proportion. A stream keeps both
+    numbers, so every start from one checkpoint has to name the same."""
+    shuffle = "spark.sql.shuffle.partitions"
+    put = {shuffle: str(parts)}
+    if spark.conf.get(BUCKETS_CONF, None) is None:
+        put[BUCKETS_CONF] = str(parts * BUCKETS_PER_PART)
+    before = {name: spark.conf.get(name, None) for name in put}
+    try:
+        for name, value in put.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def replay(
     df: DataFrame, ts: str, slices: int, run: Callable[[DataFrame], StreamingQuery], disorder: str | None = None
 ) -> list[StreamingQuery]:
     """Feed a table to a stream in slices of time, oldest first, starting the query anew
-    (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end.
+    (from its checkpoint) for each. Rows without a time come first. ``run`` gets the stream and runs it to its end;
+    state has parts by the rows of a slice.
 
     With ``disorder``, an interval, every other row within it before the end of a slice comes one
     slice later, after rows that it precedes."""
     spark = df.sparkSession
     folder = scratch_path(spark, "stream-in")
-    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"), F.count("*").alias("n")).first()
     borders = [span["lo"] + (span["hi"] - span["lo"]) / slices * i for i in range(1, slices)]
     late = F.lit(0)
     if disorder:
@@ -187,8 +216,9 @@ def replay(
             late = late.when(odd & near, 1)
         late = late.otherwise(0)
     place = sum((F.coalesce(F.col(ts) >= F.lit(b), F.lit(False)).cast("int") for b in borders), F.lit(0)) + late
-    queries = []
+    parts, queries = state_parts(spark, -(-span["n"] // slices)), []
     for i in range(slices):
         df.where(place == i).write.mode("append").parquet(folder)
-        queries.append(run(file_stream(spark, folder, df.schema)))
+        with sized_state(spark, parts):
+            queries.append(run(file_stream(spark, folder, df.schema)))
     return queries

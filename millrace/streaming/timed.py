@@ -28,7 +28,7 @@ from pyspark.sql.streaming.stateful_processor import ListState, StatefulProcesso
 
 from millrace.operators import stateful as rules
 from millrace.session import hadoop_path
-from millrace.streaming.runs import use_rocksdb
+from millrace.streaming.runs import BUCKETS_CONF, use_rocksdb
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -39,7 +39,7 @@ Names = str | Sequence[str]
 # Event time in microseconds, the last column of the rows that processors see.
 AT = "_at"
 # Keys share the state of a bucket, which is read and written whole; a stream keeps their number.
-BUCKET, BUCKETS_CONF, BUCKETS = "_bucket", "spark.millrace.streamBuckets", 2048
+BUCKET, BUCKETS = "_bucket", 2048
 # Rows in one piece of the state, which goes there in one message.
 MOST_ROWS = 10_000
 # A row as bytes: cells reach a processor one by one, and a number or a time costs more there than all the rest.
