@@ -19,6 +19,8 @@ import json
 import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
+from json.encoder import encode_basestring_ascii
+from operator import itemgetter
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -48,6 +50,11 @@ PACKED = "packed_row"
 FIRST_TIME, LAST_TIME = "1678-01-01 00:00:00", "2262-01-01 00:00:00"
 
 
+def _text(value: object) -> str:
+    """A value as JSON; most are texts, which need no encoder."""
+    return encode_basestring_ascii(value) if type(value) is str else json.dumps(value, default=str)
+
+
 class StepRule:
     """``step(state, *inputs) -> (state, outputs)`` on each row, which goes on with the outputs
     at once. ``keep`` names a boolean output: only rows where it is true go on, without it."""
@@ -104,14 +111,16 @@ class GroupRule:
         return T.StructType([*[schema.fields[p] for p in self.carried], number, *times, size])
 
     def row(self, group: dict | None, queue: list, row: tuple, at: int | None) -> tuple[dict, list[tuple]]:
-        value = None if self.place is None else json.dumps(row[self.place], default=str)
+        value = None if self.place is None else _text(row[self.place])
         emitted: list[tuple] = []
         if group is None or not group["n"] or self.starts(group, at, value):
             number = 0 if group is None else group["number"]
             if group is not None and group["n"]:
                 _, emitted = self.close(group, queue)
             group = {"number": number + 1, "first": at, "last": at, "n": 0, "value": value}
-        group = {**group, "last": at, "n": group["n"] + 1}
+        else:
+            group = dict(group)
+        group["last"], group["n"] = at, group["n"] + 1
         most = 1 if self.summary is not None else self.max_size
         if most is None or len(queue) < most:
             queue.append(row)
@@ -171,11 +180,24 @@ def _sort_key(places: list[int]) -> Callable:
     return lambda row: [(row[p] is not None, row[p]) for p in places]
 
 
+def _sorter(places: list[int]) -> Callable:
+    """Sorts rows by ``places``; only rows with nulls beside values take the longer way."""
+    plain, nulls_first = itemgetter(*places), _sort_key(places)
+
+    def ordered(rows: list[tuple]) -> list[tuple]:
+        try:
+            return sorted(rows, key=plain)
+        except TypeError:
+            return sorted(rows, key=nulls_first)
+
+    return ordered
+
+
 class Judge:
     """A rule on the rows of many keys; ``held`` has the state and the queue of each."""
 
     def __init__(self, rule, keys: list[int], order: list[int]):
-        self.rule, self.name, self.order = rule, _name_of(keys), _sort_key(order)
+        self.rule, self.name, self.ordered = rule, _name_of(keys), _sorter(order)
         self.keys = keys
 
     def _by_key(self, rows: Iterable[tuple]) -> dict[str, list[tuple]]:
@@ -198,7 +220,7 @@ class Judge:
         rule = self.rule
         for name, new in self._by_key(rows).items():
             state, queue = held.get(name, (None, []))
-            for row in sorted(new, key=self.order):
+            for row in self.ordered(new):
                 state, emitted = rule.row(state, queue, row[:-1], row[-1])
                 yield from emitted
             held[name] = state, queue
@@ -308,6 +330,14 @@ class PackedProcessor(TimedProcessor):
         return iter([pd.DataFrame(pieces, columns=PIECE.names)] if pieces else [])
 
 
+def _cells(column: pa.Array) -> list:
+    """As ``to_pylist``, which makes numbers one by one."""
+    import pyarrow as pa
+
+    plain = not column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type))
+    return column.to_numpy().tolist() if plain else column.to_pylist()
+
+
 def _packer(columns: list[str]) -> Column:
     """Each row's cells as bytes."""
 
@@ -315,7 +345,7 @@ def _packer(columns: list[str]) -> Column:
         import pyarrow as pa
 
         for batch in cells:
-            yield pa.array([pickle.dumps(row) for row in zip(*(c.to_pylist() for c in batch))], pa.binary())
+            yield pa.array([pickle.dumps(row) for row in zip(*map(_cells, batch))], pa.binary())
 
     # Hints that are not texts, which this function's would be here, choose the kind of the function.
     import pyarrow as pa
@@ -343,7 +373,18 @@ class Timed:
         return Judge(self.rule, [names.index(c) for c in self.key], [names.index(c) for c in self.order_by]), out, at
 
     def _unpack(self, pieces: DataFrame, unpack: Callable, out: T.StructType, at: int | None) -> DataFrame:
-        rows = pieces.select(F.inline(F.udf(unpack, T.ArrayType(out))(*pieces.columns)))
+        schema = pieces.sparkSession.createDataFrame([], out).toArrow().schema
+
+        def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import pyarrow as pa
+
+            for batch in found:
+                for cells in zip(*(c.to_pylist() for c in batch.columns)):
+                    rows = iter(unpack(*cells))
+                    while part := list(islice(rows, MOST_ROWS)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
+
+        rows = pieces.mapInArrow(batches, out)
         return rows if at is None or self.at not in out.names else rows.withColumn(self.at, F.timestamp_micros(self.at))
 
     def packed(self, stream: DataFrame, at: int | None) -> DataFrame:
