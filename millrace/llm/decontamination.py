@@ -3,9 +3,10 @@
 Words are runs of letters and digits, lower-cased. A window or item is a bag of word pairs; its
 64-bit fingerprint has, in each bit, what most of its pairs have there. Items are put in classes
 of like size (each a tenth longer than the one before), and documents are covered with windows of
-each class's size, a twelfth of a window apart. A fingerprint within ``RADIUS`` bits of an item's
-agrees with it in one of four blocks of 16 bits but for three bits at most, so tables of block
-values with all such errors filled in find every pair within the radius.
+each class's size, a twelfth of a window apart. A fingerprint is four blocks of 16 bits. For each
+block a table has, for every value, the bits by which it differs from the nearest of the items' in
+that class. A window whose four differences add up to more than ``RADIUS`` is farther than that
+from every item; only the others are compared, so every pair within the radius is found.
 
 What is found is checked exactly: of all windows about there that have the item's own number of
 words, the best is taken by the weighted Jaccard similarity of its five-word shingles (each with
@@ -23,6 +24,7 @@ each (or one item that is longer); a block is what is sent to every executor.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -37,21 +39,42 @@ from millrace.llm.common import map_rows, table, texts
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 15
-BLOCKS, BLOCK_ERRORS = 4, 3  # RADIUS < BLOCKS * (BLOCK_ERRORS + 1)
+BLOCKS, LOW = 4, np.uint64(0xFFFF)  # blocks of 16 bits
 RATIO = 1.1
 STEPS = 12
 WINDOWS = 1 << 13  # fingerprints worked on at once
+ITEMS = 32  # items compared at once
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 SCHEMA = "doc_id long, item_id long, similarity double, start_word long, n_words long, distance int"
 
 _WORD = re.compile(r"[^\W_]+")
+_ASCII = bytes(c if c < 128 and chr(c).isalnum() else 32 for c in range(256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+@functools.cache
+def letters() -> np.ndarray:
+    """Which of the first 65,536 characters are letters or digits."""
+    return np.array([chr(c).isalnum() for c in range(1 << 16)])
+
+
+def split_words(text: str) -> list[str] | list[bytes]:
+    """Runs of letters and digits (as bytes if all is ASCII, with the same hashes).
+
+    All else becomes blank, which is quicker than the pattern; that is left to characters of more than 16 bits."""
+    text = text.lower()
+    if text.isascii():
+        return text.encode().translate(_ASCII).split()
+    units = np.frombuffer(text.encode("utf-16-le"), "<u2")
+    if len(units) > len(text):
+        return _WORD.findall(text)
+    return np.where(letters()[units], units, ord(" ")).astype("<u2", copy=False).tobytes().decode("utf-16-le").split()
+
+
 def word_hashes(text: str) -> np.ndarray:
     import xxhash
 
-    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, _WORD.findall(text.lower()))), ">u8").astype(np.uint64)
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, split_words(text))), ">u8").astype(np.uint64)
 
 
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -80,18 +103,28 @@ def bits(h: np.ndarray) -> np.ndarray:
     return np.unpackbits(h.astype("<u8").view(np.uint8)).reshape(-1, 64)
 
 
-def running_sums(rows: np.ndarray, width: type, side: int = 64) -> np.ndarray:
-    """Sums of all rows before each one and of all. Whole rows are added at a time: first within
-    runs of ``side`` rows, all runs at once, then what lies before each run."""
-    n = len(rows)
-    padded = np.zeros((-(-n // side) * side, rows.shape[1]), width)
-    padded[:n] = rows
-    runs = padded.reshape(-1, side, rows.shape[1])
-    for k in range(1, side):
-        runs[:, k] += runs[:, k - 1]
-    before = np.cumsum(runs[:, -1], axis=0, dtype=width)
-    runs[1:] += before[:-1, None]
-    return np.concatenate([np.zeros((1, rows.shape[1]), width), padded[:n]])
+def running_sums(rows: np.ndarray, width: type) -> np.ndarray:
+    """Sums of all rows before each one and of all, in lanes of ``width`` in 64-bit numbers. What
+    outgrows its lane runs over into the next, so that only differences of sums are right: in
+    every lane, as long as each of them fits in its own."""
+    lanes = rows.astype(width, copy=False).view(np.uint64)
+    sums = np.zeros((len(lanes) + 1, lanes.shape[1]), np.uint64)
+    for start in range(0, len(lanes), 1024):
+        some = sums[start + 1 : start + 1025]
+        np.cumsum(lanes[start : start + 1024], axis=0, out=some)
+        some += sums[start]
+    return sums
+
+
+def majority(sums: np.ndarray, first: np.ndarray, end: np.ndarray, half: np.ndarray | int, width: type, room: np.ndarray) -> np.ndarray:
+    """Fingerprints of the windows from ``first`` to before ``end``: bits that more than ``half`` pairs have.
+
+    ``room`` holds two sums for each window."""
+    there, before = room[:, : len(first)]
+    sums.take(end, axis=0, out=there, mode="clip")
+    sums.take(first, axis=0, out=before, mode="clip")
+    there -= before
+    return np.packbits((there.view(width) > half).ravel()).view("<u8")
 
 
 def fingerprint(pairs: np.ndarray) -> np.uint64:
@@ -100,11 +133,15 @@ def fingerprint(pairs: np.ndarray) -> np.uint64:
 
 
 def near_values(values: np.ndarray) -> np.ndarray:
-    """A table of the 16-bit values with at most ``BLOCK_ERRORS`` bits other than in one of ``values``."""
-    errors = [e for e in range(1 << 16) if e.bit_count() <= BLOCK_ERRORS]
-    flags = np.zeros(1 << 16, bool)
-    flags[(values[:, None] ^ np.array(errors)[None, :]).ravel()] = True
-    return flags
+    """For each 16-bit value, the bits by which it differs from the nearest of ``values``."""
+    bits_off = np.full(1 << 16, 16, np.uint8)
+    bits_off[values] = 0
+    for k in range(16):
+        low, high = bits_off.reshape(-1, 2, 1 << k).swapaxes(0, 1)
+        either = np.minimum(low, high) + np.uint8(1)
+        np.minimum(low, either, out=low)
+        np.minimum(high, either, out=high)
+    return bits_off
 
 
 @dataclass
@@ -150,18 +187,19 @@ class SizeClass:
 
     def search(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Windows, items and distances of all pairs within the radius."""
-        parts = prints.astype("<u8").view("<u2").reshape(-1, BLOCKS)
-        maybe = self.tables[0].take(parts[:, 0])
-        for k in range(1, BLOCKS):
-            maybe |= self.tables[k].take(parts[:, k])
-        rows = np.flatnonzero(maybe)
         out = []
-        for start in range(0, len(rows), 4096):
-            some = rows[start : start + 4096]
-            for item in range(0, len(self.prints), 256):
-                distance = np.bitwise_count(prints[some, None] ^ self.prints[None, item : item + 256])
-                a, b = np.nonzero(distance <= RADIUS)
-                out.append((some[a], b + item, distance[a, b]))
+        for start in range(0, len(prints), WINDOWS):
+            some = prints[start : start + WINDOWS]
+            least = self.tables[0].take((some & LOW).view(np.int64), mode="clip")
+            for k in range(1, BLOCKS):
+                least += self.tables[k].take((some >> np.uint64(16 * k) & LOW).view(np.int64), mode="clip")
+            rows = np.flatnonzero(least <= RADIUS)
+            some = some[rows]
+            for item in range(0, len(self.prints), ITEMS):
+                distance = np.bitwise_count(self.prints[item : item + ITEMS, None] ^ some).ravel()
+                near = np.flatnonzero(distance <= RADIUS)
+                if len(near):
+                    out.append((rows[near % len(rows)] + start, near // len(rows) + item, distance[near]))
         if not out:
             none = np.empty(0, np.int64)
             return none, none, none
@@ -190,49 +228,49 @@ def search(batch: list[str], classes: list[SizeClass]) -> list[tuple[int, Item,
     grain = max(1, min(4, min(c.size for c in classes) // STEPS))
     words = [word_hashes(t) for t in batch]
     pairs = [rolled(w, 2) for w in words]
-    # Blocks of `grain` pairs; a document's last block may be filled up with pairs that count nothing.
-    blocks = np.array([-(-len(p) // grain) for p in pairs])
+    # Blocks of `grain` pairs; a document's last block may be filled up with zeros, which count nothing.
+    lengths = np.array([len(p) for p in pairs])
+    blocks = -(-lengths // grain)
     first = np.concatenate([[0], np.cumsum(blocks)])
     if not first[-1]:
         return []
     flat = np.zeros(first[-1] * grain, np.uint64)
-    real = np.zeros(len(flat), np.uint8)
     for p, at in zip(pairs, first[:-1] * grain):
         flat[at : at + len(p)] = p
-        real[at : at + len(p)] = 1
-    one = bits(flat) * real[:, None]
-    summed = one[0::grain].copy()
-    number = real[0::grain].astype(np.int32)
+    one = bits(flat).reshape(-1, grain, 64)
+    summed = one[:, 0]
     for k in range(1, grain):
-        summed += one[k::grain]
-        number += real[k::grain]
-    del one
-    # Differences of sums that wrapped around are right as long as no window has as many pairs.
+        summed = summed + one[:, k]
+    # A lane holds the pairs of the longest window.
     longest = max(c.size for c in classes) + grain
-    width = np.uint8 if longest < 250 else np.uint16 if longest < 60_000 else np.int64
+    width = np.uint8 if longest < 250 else np.uint16 if longest < 60_000 else np.uint64
     sums = running_sums(summed, width)
-    counts = np.concatenate([[0], np.cumsum(number)]).astype(np.int32)
-    found: dict[tuple[int, int], list] = {}
+    del one, summed
+    room = np.empty((2, max(WINDOWS, len(batch)), sums.shape[1]), np.uint64)
+    found: dict[tuple[int, int, int], list] = {}
     for which, c in enumerate(classes):
         length, stride = max(1, round(c.size / grain)), max(1, c.size // (STEPS * grain))
         # Starts of each document's windows: every stride, and one that ends with the document.
-        last = np.maximum(blocks - length, 0)
-        windows = np.where(blocks * grain >= 0.75 * c.size, last // stride + 2, 0)
-        doc = np.repeat(np.arange(len(batch)), windows)
-        turn = np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows)
-        begin = np.minimum(turn * stride, last[doc])
-        a = first[doc] + begin
-        b = np.minimum(a + length, first[doc + 1])
-        for some in range(0, len(doc), WINDOWS):
-            part = slice(some, some + WINDOWS)
-            half = ((counts[b[part]] - counts[a[part]]) // 2).astype(width)
-            most = sums.take(b[part], axis=0)
-            most -= sums.take(a[part], axis=0)
-            most = most > half[:, None]
-            prints = np.packbits(most.ravel()).view("<u8")
-            for w, item, distance in zip(*(x.tolist() for x in c.search(prints))):
-                key = (int(doc[some + w]), which, item)
-                found.setdefault(key, []).append((int(begin[some + w]) * grain, int(distance)))
+        docs = np.flatnonzero(blocks * grain >= 0.75 * c.size)
+        if not len(docs):
+            continue
+        last = np.maximum(blocks[docs] - length, 0)
+        windows = -(-last // stride) + 1
+        ends = np.cumsum(windows)
+        a = np.arange(0, ends[-1] * stride, stride)
+        a += np.repeat(first[docs] - (ends - windows) * stride, windows)
+        a[ends - 1] = first[docs] + last
+        prints = np.empty(len(a), np.uint64)
+        for some in range(0, len(a), WINDOWS):
+            part = a[some : some + WINDOWS]
+            prints[some : some + WINDOWS] = majority(sums, part, part + length, length * grain // 2, width, room)
+        # A document's last window has fewer pairs if the document is shorter or its last block filled up.
+        there = lengths[docs] - last * grain
+        cut = np.flatnonzero(there < length * grain)
+        prints[ends[cut] - 1] = majority(sums, a[ends[cut] - 1], first[docs[cut] + 1], (there[cut] // 2).astype(width)[:, None], width, room)
+        for w, item, distance in zip(*(x.tolist() for x in c.search(prints))):
+            doc = int(docs[np.searchsorted(ends, w, "right")])
+            found.setdefault((doc, which, item), []).append((int(a[w] - first[doc]) * grain, int(distance)))
     out = []
     shingled: dict[int, np.ndarray] = {}
     for (doc, which, item), hits in found.items():

@@ -409,6 +409,52 @@ def test_fingerprint_tables_hold_all_near_values():
         assert len(found.search(near)[0]) == (len(flips) <= decontamination.RADIUS)
 
 
+def test_few_windows_are_compared_with_items(monkeypatch):
+    """Windows that cannot be near an item are told by the tables of its blocks."""
+    rng = np.random.default_rng(2)
+    items, windows = (rng.integers(0, 2**63, n, dtype=np.uint64) * 2 + rng.integers(0, 2, n, dtype=np.uint64) for n in (14, 20_000))
+    windows[::1000] = items[3] ^ np.uint64(0x7F0000FF)
+    parts = items.astype("<u8").view("<u2").reshape(-1, 4).astype(np.int64)
+    found = decontamination.SizeClass(9, items, [None] * 14, [decontamination.near_values(parts[:, k]) for k in range(4)])
+    distances = np.bitwise_count(windows[:, None] ^ items)
+    compared, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: compared.append(x.size) or count(x))
+    got = {*zip(*(x.tolist() for x in found.search(windows)))}
+    assert got == {(w, i, int(distances[w, i])) for w, i in np.argwhere(distances <= decontamination.RADIUS).tolist()}
+    assert len(got) >= 20 and sum(compared) < 0.15 * distances.size
+
+
+@pytest.mark.parametrize("sizes", [(14, 31), (30, 60), (90, 400), (37, 48)])
+def test_windows_of_every_start(sizes, monkeypatch):
+    """All fingerprints of all windows, against sums made one by one, with documents that end within a block."""
+    rng = np.random.default_rng(3)
+    fresh = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 50, n))
+    classes = decontamination.build([(k, fresh(n)) for k, n in enumerate(sizes)])
+    docs = ["", "one", *(fresh(n) for n in (11, 14, 29, 33, 71, 250, 401, 990))]
+    grain = max(1, min(4, min(c.size for c in classes) // decontamination.STEPS))
+    seen = {}
+    monkeypatch.setattr(decontamination.SizeClass, "search", lambda self, prints: seen.setdefault(self.size, prints.tolist()) and ([np.empty(0, int)] * 3))
+    decontamination.search(docs, classes)
+    for c in classes:
+        length, stride = max(1, round(c.size / grain)), max(1, c.size // (decontamination.STEPS * grain))
+        expected = []
+        for text in docs:
+            pairs = decontamination.rolled(decontamination.word_hashes(text), 2)
+            blocks = -(-len(pairs) // grain)
+            if blocks * grain >= 0.75 * c.size:
+                last = max(0, blocks - length)
+                starts = [*range(0, last, stride), last]
+                expected += [int(decontamination.fingerprint(pairs[s * grain : (s + length) * grain])) for s in starts]
+        assert seen[c.size] == expected
+
+
+def test_words_of_any_script():
+    every = "".join(chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000)
+    for text in ("", "_a_b  C9", "Straße ΑΣ_ΑΣ. İx ½ ٣", "plain\x00 words\x1fhere", "日本 𝒳y", every, every[:50_000], "-".join(every[:60_000])):
+        got = [w.decode() if isinstance(w, bytes) else w for w in decontamination.split_words(text)]
+        assert got == re.findall(r"[^\W_]+", text.lower())
+
+
 @pytest.mark.parametrize("module,label,least", [(quality, "quality", 0.9), (toxicity, "toxic", 0.9)])
 def test_classifiers(spark, module, label, least):
     folder = "/root/testdata/sf0.01"
